@@ -85,7 +85,7 @@ def _needs(name: str) -> list[str]:
 
 def oracle(query: str) -> str:
     """DuckDB SQL: the query with all fixtures that it names as common table expressions before it."""
-    used = [x for x in FIXTURES if any(re.search(rf"\b{x}\b", query) for x in [query])]
+    used = [x for x in FIXTURES if re.search(rf"\b{x}\b", query)]
     needed = [x for x in FIXTURES if any(x in _needs(u) for u in used)]
     heads = ", ".join(f"{x} as ({_text(x, 'duckdb')})" for x in needed)
     query = query.strip()
