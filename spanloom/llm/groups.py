@@ -1,36 +1,154 @@
-"""From hash buckets to groups of near copies, without comparing all pairs of a bucket.
+"""From sketches of texts to groups of near copies, without comparing all pairs of a bucket.
 
-``link`` holds each member of a bucket against the bucket's leader, its lowest key.
-Members that pass are linked to it; all those that don't go on to a next round, where
-the lowest of them leads, until each is linked or has led. So a bucket of n near copies
-costs n comparisons, and no bucket is cut short, whatever its size. ``components`` then
-joins links that touch, by alternating large and small stars.
+A sketch is a row (key, part, same, sig, buckets): texts with equal ``same`` are copies of
+each other, ``sig`` is one byte for each place of the text's signature, and texts near each
+other share a bucket. ``candidates`` turns them into pairs to verify:
+
+1. of texts with equal ``same`` only the lowest key goes on; the others are linked to it;
+2. each member of a bucket is held against the bucket's lowest key by their signatures;
+3. members that don't agree with it for certain are held against each other, in blocks
+   of ``BLOCK`` members, so that the work on a hot bucket is spread over tasks.
+
+A pair whose signatures agree in ``low`` of the places at least is verified on the texts;
+one that agrees in ``high`` needs no other link in its bucket. So a group of n near copies
+costs n comparisons, and no bucket is cut short, whatever its size. Texts move once for all
+verifications. ``components`` then joins links that touch, by alternating large and small
+stars.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..plans.lineage import cut
 
+#: Members of a bucket that one task holds against each other.
+BLOCK = 4000
+
+
+def sketch_type(key: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("key", key), T.StructField("part", T.IntegerType()), T.StructField("same", T.BinaryType()), T.StructField("sig", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType()))])
+
+
+def sig_matrix(col: pa.Array) -> np.ndarray:
+    """Signatures of equal length as rows of a matrix."""
+    if not len(col):
+        return np.zeros((0, 1), np.uint8)
+    bounds = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
+    return np.frombuffer(col.buffers()[2], np.uint8)[bounds[0] : bounds[-1]].reshape(len(col), -1)
+
+
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Share of places in which signatures are equal; a place of 0 says nothing and never agrees."""
+    return ((a == b) & (a > 0)).mean(axis=-1)
+
+
+@F.arrow_udf(T.DoubleType())
+def agreed(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array(agreement(sig_matrix(a), sig_matrix(b)))
+
+
+def _within(sig: np.ndarray, low: float, high: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places (i, those after i that may be near it); one linked for certain leads no more."""
+    left = np.arange(len(sig))
+    while len(left) > 1:
+        share = agreement(sig[left[1:]], sig[left[0]])
+        near = left[1:][share >= low]
+        if len(near):
+            yield np.full(len(near), left[0]), near
+        left = left[1:][share < high]
+
 
-def _led(buckets: DataFrame) -> DataFrame:
-    """(bucket, a, b): each member ``b`` of a bucket but its leader ``a``."""
-    w = Window.partitionBy("bucket").orderBy("key")
-    return buckets.select("bucket", F.first("key").over(w).alias("a"), F.col("key").alias("b")).where("a <> b")
+def _across(sig: np.ndarray, cut_at: int, low: float, high: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same between those before and those from ``cut_at``."""
+    left = np.arange(cut_at, len(sig))
+    for i in range(cut_at):
+        if not len(left):
+            return
+        share = agreement(sig[left], sig[i])
+        near = left[share >= low]
+        if len(near):
+            yield np.full(len(near), i), near
+        left = left[share < high]
 
 
-def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Verified pairs (a < b, similarity) of (bucket, key); ``verify`` adds similarity to distinct pairs and leaves out those that fail."""
-    led, found = cut(_led(buckets)), None
-    while not led.isEmpty():
-        passed = cut(verify(led.select("a", "b").distinct()))
-        found = passed if found is None else found.union(passed)
-        rest = led.join(passed.select("a", "b"), ["a", "b"], "left_anti").select("bucket", F.col("b").alias("key"))
-        led = cut(_led(rest))
-    return found if found is not None else verify(led.select("a", "b"))
+def _compare(rows: DataFrame, low: float, high: float) -> DataFrame:
+    """(a, b) of (bucket, lo, hi, side, key, sig): members of a block, or of two, that may be near."""
+    kind = rows.schema["key"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+    def whole(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        bucket, lo, hi, side = (table.column(c).to_numpy() for c in ("bucket", "lo", "hi", "side"))
+        sig, key = sig_matrix(table.column("sig").chunk(0)), table.column("key").chunk(0)
+        new = (np.diff(bucket) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)
+        bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(bucket)]])
+        first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if y - x > 1:
+                found = _within(sig[x:y], low, high) if lo[x] == hi[x] else _across(sig[x:y], int((side[x:y] == lo[x]).sum()), low, high)
+                for i, j in found:
+                    first.append(i + x)
+                    second.append(j + x)
+        return pa.RecordBatch.from_arrays([key.take(pa.array(np.concatenate(first))), key.take(pa.array(np.concatenate(second)))], schema.names)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            name = [np.concatenate([held[-1].column(c).to_numpy()[-1:] if held else np.zeros(0, np.int64), batch.column(c).to_numpy()]) for c in ("bucket", "lo", "hi")]
+            ends = np.flatnonzero((np.diff(name[0]) != 0) | (np.diff(name[1]) != 0) | (np.diff(name[2]) != 0)) + 1 - bool(held)
+            if len(ends):  # all but the last block of what has come so far is whole
+                yield whole(pa.Table.from_batches([*held, batch.slice(0, int(ends[-1]))]))
+                held = [batch.slice(int(ends[-1]))]
+            else:
+                held.append(batch)
+        if held:
+            yield whole(pa.Table.from_batches(held))
+
+    return rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "side", "key").select("bucket", "lo", "hi", "side", "key", "sig").mapInArrow(over, schema)
+
+
+def candidates(sketches: DataFrame, low: float, high: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """((a, b) of copies, (a, b) to verify); a is the lower key, and no pair comes twice."""
+    all_rows = cut(sketches)
+    ones = all_rows.groupBy("part", "same").agg(F.min(F.struct("key", "sig", "buckets")).alias("one"))
+    ones = cut(ones.select("part", "same", "one.*"))
+    copies = all_rows.select("part", "same", F.col("key").alias("b")).join(ones.select("part", "same", F.col("key").alias("a")), ["part", "same"]).where("a < b").select("a", "b").distinct()
+    by_bucket = Window.partitionBy("bucket")
+    members = ones.select("part", "key", F.explode("buckets").alias("bucket"))
+    led = cut(members.select("bucket", "part", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b"))
+    sig = lambda name: ones.select("part", F.col("key").alias(name), F.col("sig").alias(f"sig_{name}"))
+    pairs = led.select("part", "a", "b").distinct()
+    first = cut(pairs.join(sig("b"), ["part", "b"]).join(sig("a"), ["part", "a"]).select("part", "a", "b", agreed("sig_a", "sig_b").alias("share")).where(F.col("share") >= low))
+    rest = led.join(first.where(F.col("share") >= high).select("part", "a", "b"), ["part", "a", "b"], "left_anti").select("bucket", "part", F.col("b").alias("key"))
+    rest = rest.withColumn("n", F.count("*").over(by_bucket)).withColumn("r", F.row_number().over(by_bucket.orderBy("key"))).where("n > 1")
+    place = F.floor((F.col("r") - 1) / block).cast("long")
+    spread = rest.withColumn("side", place).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))))
+    spread = spread.select("bucket", "part", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    others = _compare(spread.join(ones.select("part", "key", "sig"), ["part", "key"]), low, high)
+    both = first.select("a", "b").union(others.select("a", "b")).where("a <> b")
+    return copies, both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, text_a, text_b) of pairs of keys; the texts are shuffled once by key, and those of ``b`` once more to their partners."""
+    texts = docs.select("key", "text")
+    leads = pairs.select("a").distinct().hint("shuffle_hash").join(texts.withColumnRenamed("key", "a"), "a").withColumnRenamed("text", "text_a")
+    return pairs.hint("shuffle_hash").join(texts.withColumnRenamed("key", "b"), "b").withColumnRenamed("text", "text_b").join(leads, "a")
+
+
+def link(docs: DataFrame, sketches: DataFrame, value: Column, keep: Column, of_copies: float, low: float, high: float) -> DataFrame:
+    """Verified pairs (a, b, value), a < b: candidates whose ``value`` of (text_a, text_b) passes ``keep``, and copies."""
+    copies, maybe = candidates(sketches, low, high)
+    near = texts_of(cut(maybe), docs).select("a", "b", value.alias("value")).where(keep)
+    return near.union(copies.select("a", "b", F.lit(of_copies).alias("value")))
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -51,10 +169,3 @@ def components(edges: DataFrame) -> DataFrame:
         if before == state:
             break
     return now.select(F.col("v").alias("key"), F.col("m").alias("lead"))
-
-
-def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, text_a, text_b) of pairs of keys; only the texts that some pair needs are shuffled."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = docs.select("key", "text").join(needed, "key", "left_semi")
-    return pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")

@@ -5,8 +5,9 @@ how often they occur. Each shingle sends points of a Poisson process whose rate
 weight to random registers of the signature; the first arrival at each register wins,
 and a shingle stops as soon as its next point comes later than all registers' best. Two
 signatures agree in a register with the probability Jaccard similarity of the texts.
-Texts that agree in all registers of a band share a bucket; members of a bucket are
-verified by the exact probability Jaccard of their whole texts.
+Texts that agree in all registers of a band share a bucket. Signatures tell members of a
+bucket that can't be near, and those that may be are verified by the exact probability
+Jaccard of their whole texts.
 
 Defined results: texts of fewer words than a shingle have one shingle, all their words;
 texts without words, and null ones, are near nothing. Rows with a null key can't be
@@ -25,13 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from . import textkit as tk
-from .groups import components, link, texts_of
+from .groups import components, link, sketch_type
 from .tables import fresh, key_type, map_arrow, table, two_columns
 
 SHINGLE = 3
 BANDS, BAND_ROWS = 24, 5
 #: Least probability Jaccard of near copies. Two banded texts at this similarity meet with probability 0.95.
 LEAST = 0.65
+#: How far the share of equal registers may lie from the similarity: about four standard deviations of 120 registers.
+DOUBT = 0.16
 
 
 def shingles(w: tk.Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,16 +85,28 @@ def band_hashes(signature: np.ndarray, bands: int, band_rows: int) -> np.ndarray
     return tk.mix(total + np.arange(bands, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)).view(np.int64)
 
 
-def buckets(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
-    """(bucket, key) of each band of each text of (key, text) that has words."""
-    schema = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("key", key_type(docs, "key"))])
+def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+    """Sketches of each text of (key, text) that has words: 128 bits of its shingles and weights, its registers, its bands."""
+    schema = sketch_type(key_type(docs, "key"))
+    salts = tuple(np.uint64(x) for x in (0x632BE59BD9B4E019, 0x9FB21C651E98DF25))
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in tk.chunks(batch, "text"):
             row, element, weight = shingles(tk.words(part.column("text")), shingle)
             have, row = np.unique(row, return_inverse=True)
-            found = band_hashes(signatures(row, element, weight, len(have), bands * band_rows), bands, band_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), part.column("key").take(pa.array(np.repeat(have, bands)))], schema.names)
+            if not len(have):
+                continue
+            ends = np.searchsorted(row, np.arange(len(have) + 1))
+            sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(tk.mix(element ^ tk.mix(weight.astype(np.uint64) + salt)))])[ends] for salt in salts]
+            same = np.stack([x[1:] - x[:-1] for x in sums], axis=1)
+            registers = signatures(row, element, weight, len(have), bands * band_rows)
+            found = band_hashes(registers, bands, band_rows)
+            arrays = [
+                part.column("key").take(pa.array(have)), pa.array(np.zeros(len(have), np.int32)),
+                pa.array([x.tobytes() for x in same], pa.binary()), pa.array([x.tobytes() for x in (registers % np.uint32(255) + np.uint32(1)).astype(np.uint8)], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * bands), pa.array(found.ravel())),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     return map_arrow(docs.where("key is not null and text is not null"), make, schema)
 
@@ -122,8 +137,9 @@ def _sets(texts: pa.Array, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
-    """(a, b, similarity) of the pairs whose whole texts have probability Jaccard ``least`` at least."""
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bands: int = BANDS, band_rows: int = BAND_ROWS, least: float = LEAST, doubt: float = DOUBT) -> DataFrame:
+    """Verified pairs (a, b, similarity); a group of copies is a star about its lowest key, not all its pairs."""
+    plain = two_columns(docs, id_col, text_col)
 
     @F.arrow_udf(T.DoubleType())
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -131,14 +147,8 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, least: f
         sa, sb = _sets(a.dictionary, shingle), _sets(b.dictionary, shingle)
         return pa.array([probability_jaccard(*sa[i], *sb[j]) for i, j in zip(a.indices.to_pylist(), b.indices.to_pylist())], pa.float64())
 
-    found = texts_of(pairs, docs).select("a", "b", similar.asNondeterministic()("text_a", "text_b").alias("similarity"))
-    return found.where(F.col("similarity") >= least).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
-
-
-def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bands: int = BANDS, band_rows: int = BAND_ROWS, least: float = LEAST) -> DataFrame:
-    """Verified pairs (a, b, similarity); a group of copies is a star about its lowest key, not all its pairs."""
-    plain = two_columns(docs, id_col, text_col)
-    return link(buckets(plain, shingle, bands, band_rows), lambda pairs: verified(pairs, plain, shingle, least))
+    found = link(plain, sketches(plain, shingle, bands, band_rows), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, least - doubt, least + doubt)
+    return found.groupBy("a", "b").agg(F.max("value").alias("similarity"))
 
 
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
