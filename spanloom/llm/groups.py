@@ -1,19 +1,18 @@
 """From sketches of texts to groups of near copies, without comparing all pairs of a bucket.
 
-A sketch is a row (key, part, same, sig, buckets): texts with equal ``same`` are copies of
-each other, ``sig`` is one byte for each place of the text's signature, and texts near each
-other share a bucket. ``candidates`` turns them into pairs to verify:
+A sketch is a row (key, part, same, sig, ...): texts with equal ``same`` are copies of each
+other, ``sig`` holds the places of the text's signature, and texts near each other share a
+bucket; signatures are compared within one ``part``. ``candidates`` turns them into pairs:
 
-1. of texts with equal ``same`` only the lowest key goes on; the others are linked to it;
-2. each member of a bucket is held against the bucket's lowest key by their signatures;
-3. members that don't agree with it for certain are held against each other, in blocks
+1. each member of a bucket is held against the bucket's lowest key by their signatures;
+2. members that don't agree with it for certain are held against each other, in blocks
    of ``BLOCK`` members, so that the work on a hot bucket is spread over tasks.
 
-A pair whose signatures agree in ``low`` of the places at least is verified on the texts;
-one that agrees in ``high`` needs no other link in its bucket. So a group of n near copies
-costs n comparisons, and no bucket is cut short, whatever its size. Texts move once for all
-verifications. ``components`` then joins links that touch, by alternating large and small
-stars.
+A pair whose signatures agree in a share ``low`` of the places at least is verified on the
+texts, but for copies, which need no more; one that agrees in ``high`` needs no other link
+in its bucket. So a group of n near copies costs n comparisons, and no bucket is cut short,
+whatever its size. Only texts that may be in a pair move, once for all verifications.
+``components`` then joins links that touch, by alternating large and small stars.
 """
 
 from __future__ import annotations
@@ -22,17 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..plans.lineage import cut
+from .bloom import members
 
 #: Members of a bucket that one task holds against each other.
 BLOCK = 4000
 
 
 def sketch_type(key: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField("key", key), T.StructField("part", T.IntegerType()), T.StructField("same", T.BinaryType()), T.StructField("sig", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType()))])
+    return T.StructType([T.StructField("key", key), T.StructField("part", T.IntegerType()), T.StructField("same", T.BinaryType()), T.StructField("sig", T.BinaryType())])
 
 
 def sig_matrix(col: pa.Array) -> np.ndarray:
@@ -44,8 +43,9 @@ def sig_matrix(col: pa.Array) -> np.ndarray:
 
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of places in which signatures are equal; a place of 0 says nothing and never agrees."""
-    return ((a == b) & (a > 0)).mean(axis=-1)
+    """Share of places in which signatures are equal; a place that is 0 in both says nothing."""
+    used = (a > 0) | (b > 0)
+    return ((a == b) & used).sum(axis=-1) / np.maximum(used.sum(axis=-1), 1)
 
 
 @F.arrow_udf(T.DoubleType())
@@ -78,16 +78,21 @@ def _across(sig: np.ndarray, cut_at: int, low: float, high: float) -> Iterator[t
 
 
 def _compare(rows: DataFrame, low: float, high: float) -> DataFrame:
-    """(a, b) of (bucket, lo, hi, side, key, sig): members of a block, or of two, that may be near."""
+    """(a, b) of (bucket, lo, hi, side, key, part, sig): members of a block, or of two, that may be near."""
     kind = rows.schema["key"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
+    names = ["bucket", "part", "lo", "hi"]
+
+    def ends_of(table) -> np.ndarray:
+        """Places at which another block begins."""
+        return np.flatnonzero(np.logical_or.reduce([np.diff(table.column(c).to_numpy()) != 0 for c in names])) + 1
+
     def whole(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        bucket, lo, hi, side = (table.column(c).to_numpy() for c in ("bucket", "lo", "hi", "side"))
+        lo, hi, side = (table.column(c).to_numpy() for c in ("lo", "hi", "side"))
         sig, key = sig_matrix(table.column("sig").chunk(0)), table.column("key").chunk(0)
-        new = (np.diff(bucket) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)
-        bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(bucket)]])
+        bounds = np.concatenate([[0], ends_of(table), [len(lo)]])
         first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             if y - x > 1:
@@ -102,39 +107,38 @@ def _compare(rows: DataFrame, low: float, high: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            name = [np.concatenate([held[-1].column(c).to_numpy()[-1:] if held else np.zeros(0, np.int64), batch.column(c).to_numpy()]) for c in ("bucket", "lo", "hi")]
-            ends = np.flatnonzero((np.diff(name[0]) != 0) | (np.diff(name[1]) != 0) | (np.diff(name[2]) != 0)) + 1 - bool(held)
+            before = [held[-1].slice(held[-1].num_rows - 1)] if held else []
+            ends = ends_of(pa.Table.from_batches([*before, batch])) - len(before)
             if len(ends):  # all but the last block of what has come so far is whole
-                yield whole(pa.Table.from_batches([*held, batch.slice(0, int(ends[-1]))]))
+                if held or ends[-1]:
+                    yield whole(pa.Table.from_batches([*held, batch.slice(0, int(ends[-1]))]))
                 held = [batch.slice(int(ends[-1]))]
             else:
                 held.append(batch)
         if held:
             yield whole(pa.Table.from_batches(held))
 
-    return rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "side", "key").select("bucket", "lo", "hi", "side", "key", "sig").mapInArrow(over, schema)
+    return rows.select(*names, "side", "key", "sig").repartition(*names).sortWithinPartitions(*names, "side", "key").mapInArrow(over, schema)
 
 
-def candidates(sketches: DataFrame, low: float, high: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """((a, b) of copies, (a, b) to verify); a is the lower key, and no pair comes twice."""
-    all_rows = cut(sketches)
-    ones = all_rows.groupBy("part", "same").agg(F.min(F.struct("key", "sig", "buckets")).alias("one"))
-    ones = cut(ones.select("part", "same", "one.*"))
-    copies = all_rows.select("part", "same", F.col("key").alias("b")).join(ones.select("part", "same", F.col("key").alias("a")), ["part", "same"]).where("a < b").select("a", "b").distinct()
+def candidates(sketches: DataFrame, buckets: Column, low: float, high: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame, Column]:
+    """((a, b, copies) that may be near, a < b, and a condition on keys that holds for all of them); ``buckets`` is an array of a sketch's buckets."""
+    rows = cut(sketches)
     by_bucket = Window.partitionBy("bucket")
-    members = ones.select("part", "key", F.explode("buckets").alias("bucket"))
-    led = cut(members.select("bucket", "part", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b"))
-    sig = lambda name: ones.select("part", F.col("key").alias(name), F.col("sig").alias(f"sig_{name}"))
-    pairs = led.select("part", "a", "b").distinct()
-    first = cut(pairs.join(sig("b"), ["part", "b"]).join(sig("a"), ["part", "a"]).select("part", "a", "b", agreed("sig_a", "sig_b").alias("share")).where(F.col("share") >= low))
-    rest = led.join(first.where(F.col("share") >= high).select("part", "a", "b"), ["part", "a", "b"], "left_anti").select("bucket", "part", F.col("b").alias("key"))
+    led = cut(rows.select("key", F.explode(buckets).alias("bucket")).select("bucket", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b"))
+    shared = members(led.select(F.explode(F.array("a", "b")).alias("key")))
+    few = rows.select("key", "part", "same", "sig").where(shared(F.col("key")))
+    side = lambda name: few.select(F.col("key").alias(name), F.struct("part", "same", "sig").alias(f"of_{name}"))
+    pairs = led.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a").where("of_a.part = of_b.part")
+    first = pairs.select("a", "b", F.expr("of_a.same = of_b.same").alias("copies"), agreed("of_a.sig", "of_b.sig").alias("share")).where(F.col("share") >= low)
+    first = cut(first.groupBy("a", "b").agg(F.bool_or("copies").alias("copies"), F.max("share").alias("share")))
+    rest = led.join(first.where(F.col("share") >= high).select("a", "b"), ["a", "b"], "left_anti").select("bucket", F.col("b").alias("key")).distinct()
     rest = rest.withColumn("n", F.count("*").over(by_bucket)).withColumn("r", F.row_number().over(by_bucket.orderBy("key"))).where("n > 1")
-    place = F.floor((F.col("r") - 1) / block).cast("long")
-    spread = rest.withColumn("side", place).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))))
-    spread = spread.select("bucket", "part", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
-    others = _compare(spread.join(ones.select("part", "key", "sig"), ["part", "key"]), low, high)
-    both = first.select("a", "b").union(others.select("a", "b")).where("a <> b")
-    return copies, both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    spread = rest.withColumn("side", F.floor((F.col("r") - 1) / block).cast("long")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))))
+    spread = spread.select("bucket", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    others = _compare(spread.join(few.select("key", "part", "sig"), "key"), low, high)
+    both = first.select("a", "b", "copies").union(others.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(False)))
+    return both.groupBy("a", "b").agg(F.bool_or("copies").alias("copies")), shared
 
 
 def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -144,11 +148,12 @@ def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.hint("shuffle_hash").join(texts.withColumnRenamed("key", "b"), "b").withColumnRenamed("text", "text_b").join(leads, "a")
 
 
-def link(docs: DataFrame, sketches: DataFrame, value: Column, keep: Column, of_copies: float, low: float, high: float) -> DataFrame:
+def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, keep: Column, of_copies: float, low: float, high: float) -> DataFrame:
     """Verified pairs (a, b, value), a < b: candidates whose ``value`` of (text_a, text_b) passes ``keep``, and copies."""
-    copies, maybe = candidates(sketches, low, high)
-    near = texts_of(cut(maybe), docs).select("a", "b", value.alias("value")).where(keep)
-    return near.union(copies.select("a", "b", F.lit(of_copies).alias("value")))
+    found, shared = candidates(sketches, buckets, low, high)
+    found = cut(found)
+    near = texts_of(found.where("not copies").select("a", "b"), docs.where(shared(F.col("key")))).select("a", "b", value.alias("value")).where(keep)
+    return near.union(found.where("copies").select("a", "b", F.lit(of_copies).alias("value")))
 
 
 def _state(edges: DataFrame) -> tuple:

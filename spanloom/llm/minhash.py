@@ -87,7 +87,7 @@ def band_hashes(signature: np.ndarray, bands: int, band_rows: int) -> np.ndarray
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """Sketches of each text of (key, text) that has words: 128 bits of its shingles and weights, its registers, its bands."""
-    schema = sketch_type(key_type(docs, "key"))
+    schema = sketch_type(key_type(docs, "key")).add("buckets", T.ArrayType(T.LongType()))
     salts = tuple(np.uint64(x) for x in (0x632BE59BD9B4E019, 0x9FB21C651E98DF25))
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -147,7 +147,7 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sa, sb = _sets(a.dictionary, shingle), _sets(b.dictionary, shingle)
         return pa.array([probability_jaccard(*sa[i], *sb[j]) for i, j in zip(a.indices.to_pylist(), b.indices.to_pylist())], pa.float64())
 
-    found = link(plain, sketches(plain, shingle, bands, band_rows), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, least - doubt, least + doubt)
+    found = link(plain, sketches(plain, shingle, bands, band_rows), F.col("buckets"), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, least - doubt, least + doubt)
     return found.groupBy("a", "b").agg(F.max("value").alias("similarity"))
 
 
