@@ -2,17 +2,18 @@
 
 A sketch is a row (key, part, same, sig, ...): texts with equal ``same`` are copies of each
 other, ``sig`` holds the places of the text's signature, and texts near each other share a
-bucket; signatures are compared within one ``part``. ``candidates`` turns them into pairs:
-
-1. each member of a bucket is held against the bucket's lowest key by their signatures;
-2. members that don't agree with it for certain are held against each other, in blocks
-   of ``BLOCK`` members, so that the work on a hot bucket is spread over tasks.
-
-A pair whose signatures agree in a share ``low`` of the places at least is verified on the
-texts, but for copies, which need no more; one that agrees in ``high`` needs no other link
-in its bucket. So a group of n near copies costs n comparisons, and no bucket is cut short,
-whatever its size. Only texts that may be in a pair move, once for all verifications.
-``components`` then joins links that touch, by alternating large and small stars.
+bucket; signatures are compared within one ``part``. ``link`` turns them into pairs:
+
+1. each member of a bucket is held against the bucket's lowest key: first by signatures,
+   and on their texts where these agree in a share ``low`` of the places at least;
+2. pairs that passed are joined to groups. Of members that aren't in the group of their
+   bucket's lowest key, one of each group is held against the others of its bucket, in
+   blocks of ``BLOCK``, so that the work on a hot bucket is spread over tasks.
+
+So a group of n near copies costs n comparisons, and no bucket is cut short, whatever its
+size. Copies are told without their texts, and in step 2 a member whose signature agrees
+in ``high`` with an earlier one's leads no more. Only texts that may be in a pair move.
+``components`` joins links that touch, by alternating large and small stars.
 """
 
 from __future__ import annotations
@@ -121,26 +122,6 @@ def _compare(rows: DataFrame, low: float, high: float) -> DataFrame:
     return rows.select(*names, "side", "key", "sig").repartition(*names).sortWithinPartitions(*names, "side", "key").mapInArrow(over, schema)
 
 
-def candidates(sketches: DataFrame, buckets: Column, low: float, high: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame, Column]:
-    """((a, b, copies) that may be near, a < b, and a condition on keys that holds for all of them); ``buckets`` is an array of a sketch's buckets."""
-    rows = cut(sketches)
-    by_bucket = Window.partitionBy("bucket")
-    led = cut(rows.select("key", F.explode(buckets).alias("bucket")).select("bucket", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b"))
-    shared = members(led.select(F.explode(F.array("a", "b")).alias("key")))
-    few = rows.select("key", "part", "same", "sig").where(shared(F.col("key")))
-    side = lambda name: few.select(F.col("key").alias(name), F.struct("part", "same", "sig").alias(f"of_{name}"))
-    pairs = led.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a").where("of_a.part = of_b.part")
-    first = pairs.select("a", "b", F.expr("of_a.same = of_b.same").alias("copies"), agreed("of_a.sig", "of_b.sig").alias("share")).where(F.col("share") >= low)
-    first = cut(first.groupBy("a", "b").agg(F.bool_or("copies").alias("copies"), F.max("share").alias("share")))
-    rest = led.join(first.where(F.col("share") >= high).select("a", "b"), ["a", "b"], "left_anti").select("bucket", F.col("b").alias("key")).distinct()
-    rest = rest.withColumn("n", F.count("*").over(by_bucket)).withColumn("r", F.row_number().over(by_bucket.orderBy("key"))).where("n > 1")
-    spread = rest.withColumn("side", F.floor((F.col("r") - 1) / block).cast("long")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))))
-    spread = spread.select("bucket", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
-    others = _compare(spread.join(few.select("key", "part", "sig"), "key"), low, high)
-    both = first.select("a", "b", "copies").union(others.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(False)))
-    return both.groupBy("a", "b").agg(F.bool_or("copies").alias("copies")), shared
-
-
 def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, text_a, text_b) of pairs of keys; the texts are shuffled once by key, and those of ``b`` once more to their partners."""
     texts = docs.select("key", "text")
@@ -148,12 +129,35 @@ def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.hint("shuffle_hash").join(texts.withColumnRenamed("key", "b"), "b").withColumnRenamed("text", "text_b").join(leads, "a")
 
 
-def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, keep: Column, of_copies: float, low: float, high: float) -> DataFrame:
-    """Verified pairs (a, b, value), a < b: candidates whose ``value`` of (text_a, text_b) passes ``keep``, and copies."""
-    found, shared = candidates(sketches, buckets, low, high)
-    found = cut(found)
-    near = texts_of(found.where("not copies").select("a", "b"), docs.where(shared(F.col("key")))).select("a", "b", value.alias("value")).where(keep)
-    return near.union(found.where("copies").select("a", "b", F.lit(of_copies).alias("value")))
+def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, keep: Column, of_copies: float, low: float, high: float, block: int = BLOCK) -> DataFrame:
+    """Verified pairs (a, b, value), a < b: those whose ``value`` of (text_a, text_b) passes ``keep``, and copies; ``buckets`` is an array of a sketch's buckets."""
+    by_bucket = Window.partitionBy("bucket")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs)
+        own = members(pairs.select(F.explode(F.array("a", "b")).alias("key")))
+        return texts_of(pairs, docs.where(own(F.col("key")))).select("a", "b", value.alias("value")).where(keep)
+
+    rows = cut(sketches)
+    led = cut(rows.select("key", F.explode(buckets).alias("bucket")).select("bucket", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b"))
+    shared = members(led.select(F.explode(F.array("a", "b")).alias("key")))
+    few = rows.select("key", "part", "same", "sig").where(shared(F.col("key")))
+    side = lambda name: few.select(F.col("key").alias(name), F.struct("part", "same", "sig").alias(f"of_{name}"))
+    pairs = cut(led.select("a", "b").distinct())
+    held = pairs.join(side("b"), "b").join(side("a"), "a").where("of_a.part = of_b.part")
+    held = held.select("a", "b", F.expr("of_a.same = of_b.same").alias("copies"), agreed("of_a.sig", "of_b.sig").alias("share")).where(F.col("share") >= low)
+    held = cut(held.groupBy("a", "b").agg(F.bool_or("copies").alias("copies")))
+    found = cut(verified(held.where("not copies").select("a", "b")).union(held.where("copies").select("a", "b", F.lit(of_copies).alias("value"))))
+
+    group = cut(components(found))
+    of = lambda name: group.select(F.col("key").alias(name), F.col("lead").alias(f"of_{name}"))
+    apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("of_a", "a").alias("ga"), F.coalesce("of_b", "b").alias("gb")).where("ga <> gb")
+    rest = led.join(apart.select("a", "b", "gb"), ["a", "b"]).groupBy("bucket", "gb").agg(F.min("b").alias("key"))
+    rest = rest.select("bucket", "key", F.count("*").over(by_bucket).alias("n"), F.row_number().over(by_bucket.orderBy("key")).alias("r")).where("n > 1")
+    spread = rest.withColumn("side", F.floor((F.col("r") - 1) / block).cast("long")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))))
+    spread = spread.select("bucket", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    others = _compare(spread.join(few.select("key", "part", "sig"), "key"), low, high).where("a <> b")
+    return found.union(verified(others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
 
 
 def _state(edges: DataFrame) -> tuple:
