@@ -4,15 +4,18 @@ A sketch is a row (key, part, same, sig, ...): texts with equal ``same`` are cop
 other, ``sig`` holds the places of the text's signature, and texts near each other share a
 bucket; signatures are compared within one ``part``. ``link`` turns them into pairs:
 
-1. each member of a bucket is held against the bucket's lowest key: first by signatures,
+1. of texts that are copies, the lowest key stands for all, so no copy needs a bucket;
+2. each member of a bucket is held against the bucket's lowest key: first by signatures,
    and on their texts where these agree in a share ``low`` of the places at least;
-2. pairs that passed are joined to groups. Of members that aren't in the group of their
-   bucket's lowest key, one of each group is held against the others of its bucket, in
-   blocks of ``BLOCK``, so that the work on a hot bucket is spread over tasks.
-
-So a group of n near copies costs n comparisons, and no bucket is cut short, whatever its
-size. Copies are told without their texts, and in step 2 a member whose signature agrees
-in ``high`` with an earlier one's leads no more. Only texts that may be in a pair move.
+3. pairs that passed are joined to groups. Members of a bucket that are in different groups
+   are held against each other by signatures, all of them, in blocks of ``BLOCK``, so that
+   the work on a hot bucket is spread over tasks. Of the pairs that agree in ``low``, each
+   member's best is verified and groups are joined anew, ``ROUNDS`` times; then all others
+   are verified whose ends are still in different groups.
+
+So no pair of a bucket is left out but those that signatures rule out and those that are
+in one group already. A group of n near copies about its lowest key costs n comparisons,
+and no bucket is cut short, whatever its size. Only texts that may be in a pair move.
 ``components`` joins links that touch, by alternating large and small stars.
 """
 
@@ -29,6 +32,8 @@ from .bloom import members
 
 #: Members of a bucket that one task holds against each other.
 BLOCK = 4000
+#: How often members' best pairs are verified before all others; more rounds spare verifications, and change no group.
+ROUNDS = 2
 
 
 def sketch_type(key: T.DataType) -> T.StructType:
@@ -54,34 +59,21 @@ def agreed(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(agreement(sig_matrix(a), sig_matrix(b)))
 
 
-def _within(sig: np.ndarray, low: float, high: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places (i, those after i that may be near it); one linked for certain leads no more."""
-    left = np.arange(len(sig))
-    while len(left) > 1:
-        share = agreement(sig[left[1:]], sig[left[0]])
-        near = left[1:][share >= low]
-        if len(near):
-            yield np.full(len(near), left[0]), near
-        left = left[1:][share < high]
-
-
-def _across(sig: np.ndarray, cut_at: int, low: float, high: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The same between those before and those from ``cut_at``."""
-    left = np.arange(cut_at, len(sig))
-    for i in range(cut_at):
-        if not len(left):
-            return
-        share = agreement(sig[left], sig[i])
-        near = left[share >= low]
-        if len(near):
-            yield np.full(len(near), i), near
-        left = left[share < high]
-
-
-def _compare(rows: DataFrame, low: float, high: float) -> DataFrame:
-    """(a, b) of (bucket, lo, hi, side, key, part, sig): members of a block, or of two, that may be near."""
+def _apart(sig: np.ndarray, group: np.ndarray, cut_at: int, low: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, share): pairs of places in different groups that may be near; i before and j from ``cut_at``, or any i < j where that is 0."""
+    for i in range(cut_at or len(sig)):
+        begin = cut_at or i + 1
+        other = begin + np.flatnonzero(group[begin:] != group[i])
+        share = agreement(sig[other], sig[i])
+        near = share >= low
+        if near.any():
+            yield np.full(int(near.sum()), i), other[near], share[near]
+
+
+def _compare(rows: DataFrame, low: float) -> DataFrame:
+    """(a, b, share) of (bucket, lo, hi, side, group, key, part, sig): members of a block, or of two, that are in different groups and may be near."""
     kind = rows.schema["key"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("share", T.DoubleType())])
 
     names = ["bucket", "part", "lo", "hi"]
 
@@ -91,17 +83,18 @@ def _compare(rows: DataFrame, low: float, high: float) -> DataFrame:
 
     def whole(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        lo, hi, side = (table.column(c).to_numpy() for c in ("lo", "hi", "side"))
+        lo, hi, side, group = (table.column(c).to_numpy() for c in ("lo", "hi", "side", "group"))
         sig, key = sig_matrix(table.column("sig").chunk(0)), table.column("key").chunk(0)
         bounds = np.concatenate([[0], ends_of(table), [len(lo)]])
-        first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        first, second, shares = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if y - x > 1:
-                found = _within(sig[x:y], low, high) if lo[x] == hi[x] else _across(sig[x:y], int((side[x:y] == lo[x]).sum()), low, high)
-                for i, j in found:
+            cut_at = 0 if lo[x] == hi[x] else int((side[x:y] == lo[x]).sum())
+            if y - x > 1 and (lo[x] == hi[x] or 0 < cut_at < y - x):
+                for i, j, share in _apart(sig[x:y], group[x:y], cut_at, low):
                     first.append(i + x)
                     second.append(j + x)
-        return pa.RecordBatch.from_arrays([key.take(pa.array(np.concatenate(first))), key.take(pa.array(np.concatenate(second)))], schema.names)
+                    shares.append(share)
+        return pa.RecordBatch.from_arrays([key.take(pa.array(np.concatenate(first))), key.take(pa.array(np.concatenate(second))), pa.array(np.concatenate(shares))], schema.names)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -119,7 +112,7 @@ def _compare(rows: DataFrame, low: float, high: float) -> DataFrame:
         if held:
             yield whole(pa.Table.from_batches(held))
 
-    return rows.select(*names, "side", "key", "sig").repartition(*names).sortWithinPartitions(*names, "side", "key").mapInArrow(over, schema)
+    return rows.select(*names, "side", "group", "key", "sig").repartition(*names).sortWithinPartitions(*names, "side", "key").mapInArrow(over, schema)
 
 
 def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -129,7 +122,7 @@ def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.hint("shuffle_hash").join(texts.withColumnRenamed("key", "b"), "b").withColumnRenamed("text", "text_b").join(leads, "a")
 
 
-def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, keep: Column, of_copies: float, low: float, high: float, block: int = BLOCK) -> DataFrame:
+def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, keep: Column, of_copies: float, low: float, block: int = BLOCK) -> DataFrame:
     """Verified pairs (a, b, value), a < b: those whose ``value`` of (text_a, text_b) passes ``keep``, and copies; ``buckets`` is an array of a sketch's buckets."""
     by_bucket = Window.partitionBy("bucket")
 
@@ -138,26 +131,41 @@ def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, k
         own = members(pairs.select(F.explode(F.array("a", "b")).alias("key")))
         return texts_of(pairs, docs.where(own(F.col("key")))).select("a", "b", value.alias("value")).where(keep)
 
-    rows = cut(sketches)
-    led = cut(rows.select("key", F.explode(buckets).alias("bucket")).select("bucket", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b"))
+    every = cut(sketches)
+    heads = cut(every.select("key", "part", "same").withColumn("head", F.min("key").over(Window.partitionBy("part", "same"))).where("key <> head").distinct())
+    copies = heads.select(F.col("head").alias("a"), F.col("key").alias("b"), F.lit(of_copies).alias("value")).distinct()
+    rows = cut(every.join(heads, ["key", "part", "same"], "left_anti"))
+    led = cut(rows.select("key", F.explode(buckets).alias("bucket")).select("bucket", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b").distinct())
     shared = members(led.select(F.explode(F.array("a", "b")).alias("key")))
-    few = rows.select("key", "part", "same", "sig").where(shared(F.col("key")))
-    side = lambda name: few.select(F.col("key").alias(name), F.struct("part", "same", "sig").alias(f"of_{name}"))
-    pairs = cut(led.select("a", "b").distinct())
-    held = pairs.join(side("b"), "b").join(side("a"), "a").where("of_a.part = of_b.part")
-    held = held.select("a", "b", F.expr("of_a.same = of_b.same").alias("copies"), agreed("of_a.sig", "of_b.sig").alias("share")).where(F.col("share") >= low)
-    held = cut(held.groupBy("a", "b").agg(F.bool_or("copies").alias("copies")))
-    found = cut(verified(held.where("not copies").select("a", "b")).union(held.where("copies").select("a", "b", F.lit(of_copies).alias("value"))))
-
-    group = cut(components(found))
-    of = lambda name: group.select(F.col("key").alias(name), F.col("lead").alias(f"of_{name}"))
-    apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("of_a", "a").alias("ga"), F.coalesce("of_b", "b").alias("gb")).where("ga <> gb")
-    rest = led.join(apart.select("a", "b", "gb"), ["a", "b"]).groupBy("bucket", "gb").agg(F.min("b").alias("key"))
-    rest = rest.select("bucket", "key", F.count("*").over(by_bucket).alias("n"), F.row_number().over(by_bucket.orderBy("key")).alias("r")).where("n > 1")
+    few = rows.select("key", "part", "sig").where(shared(F.col("key")))
+    side = lambda name: few.select(F.col("key").alias(name), F.struct("part", "sig").alias(f"of_{name}"))
+    held = led.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a").where("of_a.part = of_b.part")
+    held = cut(held.where(agreed("of_a.sig", "of_b.sig") >= low).select("a", "b").distinct())
+    found = cut(copies.union(verified(held)))
+
+    def grouped(pairs: DataFrame, found: DataFrame, names: tuple[str, ...]) -> DataFrame:
+        """``pairs`` with the group of each key column of ``names``."""
+        group = cut(components(found))
+        for name in names:
+            pairs = pairs.join(group.select(F.col("key").alias(name), F.col("lead").alias(f"of_{name}")), name, "left").withColumn(f"of_{name}", F.coalesce(f"of_{name}", name))
+        return pairs
+
+    rest = grouped(led.select("bucket", F.col("b").alias("key")), found, ("key",))
+    rest = rest.select("bucket", "key", F.dense_rank().over(by_bucket.orderBy("of_key")).alias("group"), F.min("of_key").over(by_bucket).alias("x"), F.max("of_key").over(by_bucket).alias("y"), F.count("*").over(by_bucket).alias("n"), F.row_number().over(by_bucket.orderBy("of_key", "key")).alias("r")).where("x <> y")
     spread = rest.withColumn("side", F.floor((F.col("r") - 1) / block).cast("long")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))))
-    spread = spread.select("bucket", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
-    others = _compare(spread.join(few.select("key", "part", "sig"), "key"), low, high).where("a <> b")
-    return found.union(verified(others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
+    spread = spread.select("bucket", "key", "group", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    others = _compare(spread.join(few, "key"), low).where("a <> b")
+    others = others.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("share").alias("share"))
+    others = cut(others.join(held, ["a", "b"], "left_anti"))
+    for _ in range(ROUNDS):
+        if others.isEmpty():
+            return found
+        ends = others.select("a", "b", "share", F.explode(F.array("a", "b")).alias("of"))
+        best = ends.withColumn("r", F.row_number().over(Window.partitionBy("of").orderBy(F.desc("share"), "a", "b"))).where("r = 1")
+        best = cut(best.select("a", "b").distinct())
+        found = cut(found.union(verified(best)))
+        others = cut(grouped(others.join(best, ["a", "b"], "left_anti"), found, ("a", "b")).where("of_a <> of_b").select("a", "b", "share"))
+    return found.union(verified(others.select("a", "b")))
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -147,7 +147,7 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sa, sb = _sets(a.dictionary, shingle), _sets(b.dictionary, shingle)
         return pa.array([probability_jaccard(*sa[i], *sb[j]) for i, j in zip(a.indices.to_pylist(), b.indices.to_pylist())], pa.float64())
 
-    found = link(plain, sketches(plain, shingle, bands, band_rows), F.col("buckets"), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, least - doubt, least + doubt)
+    found = link(plain, sketches(plain, shingle, bands, band_rows), F.col("buckets"), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, least - doubt)
     return found.groupBy("a", "b").agg(F.max("value").alias("similarity"))
 
 

@@ -105,6 +105,23 @@ def test_near_copies_on_odd_rows(spark, odd, operator):
     assert operator(none(spark)).count() == 0
 
 
+def test_copies_about_a_source_that_is_not_the_lowest_key_join_one_group(spark):
+    """60 copies of a text of 300 words with 14 words replaced in each; they are near the text, but not each other."""
+    r = random.Random(11)
+    vocabulary = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 9))) for _ in range(3000)]
+    own = r.choices(vocabulary, k=300)
+    texts = {30: " ".join(own)}
+    for k in [*range(30), *range(31, 61)]:
+        other = list(own)
+        for at in r.sample(range(300), 14):
+            other[at] = r.choice(vocabulary)
+        texts[k] = " ".join(other)
+    sets = minhash._sets(pa.array(texts.values()), minhash.SHINGLE)
+    near = [(30, k) for k, s in list(zip(texts, sets))[1:] if minhash.probability_jaccard(*sets[0], *s) >= minhash.LEAST]
+    got = {x.key: x.lead for x in minhash.duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    assert len(near) >= 58 and sum(k in got or k == 0 for _, k in near) >= 0.95 * len(near) and set(got.values()) == {0}
+
+
 def test_lines_as_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
