@@ -84,6 +84,34 @@ def test_edits_finds_the_groups_of_brute_force(copies):
     assert sum(got.get(k) == v for k, v in truth.items()) >= 0.9 * len(truth) and set(got) <= set(truth)
 
 
+@pytest.mark.parametrize("length", [60, 300, 3_000, 20_000, 120_000])
+@pytest.mark.parametrize("share, of", [(0.08, "words"), (0.04, "characters"), (0.08, "characters")])
+def test_near_copies_of_any_length_share_a_bucket(length, share, of):
+    if length == 60 and of == "words":
+        pytest.skip("too few words")
+    r = random.Random(length)
+    letters, met, pairs = "abcdefghijklmnopqrstuvwxyz", 0, 20
+    for _ in range(pairs):
+        words = ["".join(r.choices(letters, k=r.randint(2, 9))) for _ in range(length // 6)]
+        a = " ".join(words)[:length]
+        if of == "words":
+            b = " ".join("".join(r.choices(letters, k=len(w))) if r.random() < share else w for w in words)[:length]
+        else:
+            b = "".join(r.choice(["", r.choice(letters), x + r.choice(letters)]) if r.random() < share else x for x in a)
+        made = {}
+        for text in (a, b):
+            for c, _, values in edits.samples(pa.array([text]), edits.BANDS, edits.BAND_ROWS):
+                made.setdefault(c, []).append(values[0])
+        for x in made.values():
+            if len(x) == 2:
+                equal = (x[0] == x[1]) & (x[0] > 0)
+                if equal.reshape(edits.BANDS, -1).all(axis=1).any() and equal.mean() >= edits.LOW:
+                    met += 1
+                    break
+    print(length, share, of, met / pairs)
+    assert met >= 0.9 * pairs
+
+
 def test_edit_distance():
     def plain(a, b):
         row = list(range(len(b) + 1))
