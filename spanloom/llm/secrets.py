@@ -8,14 +8,15 @@ keeps what a format fixes: literal prefixes, lengths, alphabets by place. The se
 finds its loops. Characters that a state wasn't seen to send share a little probability
 with those of their kind, if the state sends several of the kind.
 
-Candidates are all maximal runs of ``ALPHABET`` of at least ``SHORTEST`` characters in
-whole texts. Each is scored by every automaton; a format is reported where its log
+Candidates lie in maximal runs of ``ALPHABET`` in whole texts: all parts of at least
+``SHORTEST`` characters that begin at the run's start or after one of ``SEPARATORS``, and
+stop at its end or before one. Each is scored by every automaton; a format is reported where its log
 likelihood beats that of ordinary runs (an automaton inferred in the same way from runs
 labelled as such) by ``margin``.
 
 Defined results: a null or empty text has no candidates. A candidate that two formats
 accept is given to the likelier one, and of equally likely ones to the first by name.
-Repeated rows, and repeated credentials in a text, are reported each for itself. Rows
+Of candidates that overlap, the one with the highest ratio is reported. Repeated rows, and repeated credentials in a text, are reported each for itself. Rows
 with a null key are scanned, and reported with it. Other columns are ignored.
 """
 
@@ -37,6 +38,7 @@ from .tables import key_type, map_arrow, table, two_columns
 
 ALPHABET = string.ascii_letters + string.digits + "_-+/=."
 SHORTEST = 16
+SEPARATORS = "=/.-_+"
 #: Labelled credentials of each format that the automata are inferred from, and Hoeffding's confidence.
 PER_FORMAT, CONFIDENCE = 300, 0.01
 #: Characters of a kind that a state must have been seen to send before it may send the others of that kind.
@@ -282,11 +284,52 @@ def candidates(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return codes, start[long], (end - start)[long]
 
 
-def judge(automata: list[Automaton], codes: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the likeliest format, its log likelihood ratio to ordinary runs) of each candidate."""
-    scores = np.array([a.score(codes, start, length) for a in automata[:-1]]).reshape(len(automata) - 1, len(start))
-    best = scores.argmax(axis=0)
-    return best, scores[best, np.arange(len(start))] - np.maximum(automata[-1].score(codes, start, length), -1e6)
+_SEPARATES = np.zeros(256, bool)
+_SEPARATES[[_CODE[c] for c in SEPARATORS]] = True
+
+
+def accepted(automaton: Automaton, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lengths, log likelihoods) of the parts that the automaton can send, from the starts given to a separator or to ``end``."""
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    total, state, k = np.zeros(len(start)), np.zeros(len(start), np.int32), 0
+    while len(start):
+        c = codes[start + k]
+        total = total + automaton.logp[state, c]
+        state = automaton.follow[state, c]
+        k += 1
+        live = total > -np.inf
+        start, end, total, state = start[live], end[live], total[live], state[live]
+        more = start + k < end
+        if k >= SHORTEST:
+            score = total + automaton.logp[state, END]
+            stops = ~more
+            stops[more] = _SEPARATES[codes[start[more] + k]]
+            ok = stops & (score > -np.inf)
+            found.append((start[ok], np.full(int(ok.sum()), k), score[ok]))
+        start, end, total, state = start[more], end[more], total[more], state[more]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def judge(automata: list[Automaton], codes: np.ndarray, start: np.ndarray, length: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, index of the format, log likelihood ratio to ordinary runs) of the parts of the runs that reach ``margin``, in order; none overlap."""
+    at = np.arange(int(length.sum())) + np.repeat(start - np.cumsum(length) + length, length)
+    end = np.repeat(start + length, length)
+    begins = (at == np.repeat(start, length)) | _SEPARATES[codes[at - 1]]
+    begins &= end - at >= SHORTEST
+    parts = [accepted(a, codes, at[begins], end[begins]) for a in automata[:-1]]
+    s, n, score = (np.concatenate(x) for x in zip(*parts))
+    form = np.repeat(np.arange(len(parts)), [len(x[0]) for x in parts])
+    score = score - np.maximum(automata[-1].score(codes, s, n), -1e6)
+    hit = np.flatnonzero(score >= margin)
+    kept: list[int] = []
+    taken: set[int] = set()
+    for i in hit[np.lexsort((form[hit], s[hit], -n[hit], -score[hit]))].tolist():
+        own = range(int(s[i]), int(s[i] + n[i]))
+        if taken.isdisjoint(own):
+            taken.update(own)
+            kept.append(i)
+    kept = np.array(sorted(kept, key=lambda i: s[i]), np.int64)
+    return s[kept], n[kept], form[kept], score[kept]
 
 
 def scan(docs: DataFrame, automata: list[Automaton], margin: float = MARGIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,12 +343,11 @@ def scan(docs: DataFrame, automata: list[Automaton], margin: float = MARGIN, id_
             codes, start, length = candidates(points, offsets)
             if not len(start):
                 continue
-            best, score = judge(shared.value, codes, start, length)
-            hit = score >= margin
-            row = np.searchsorted(offsets, start[hit], "right") - 1
-            begin = start[hit] - offsets[row]
-            names = pa.array([shared.value[i].name for i in best[hit]], pa.string())
-            yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(row)), pa.array(begin), pa.array(begin + length[hit]), names, pa.array(score[hit])], schema.names)
+            start, length, best, score = judge(shared.value, codes, start, length, margin)
+            row = np.searchsorted(offsets, start, "right") - 1
+            begin = start - offsets[row]
+            names = pa.array([shared.value[i].name for i in best], pa.string())
+            yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(row)), pa.array(begin), pa.array(begin + length), names, pa.array(score)], schema.names)
 
     return map_arrow(two_columns(docs, id_col, text_col), find, schema)
 

@@ -211,6 +211,18 @@ def test_secrets_held_out(spark, odd):
     assert secrets.scan(odd, automata).count() == 0 and secrets.scan(none(spark), automata).count() == 0
 
 
+def test_secrets_beside_separators(spark):
+    automata = secrets.learn(secrets.labelled_credentials())
+    held = [(name, run) for name, run in secrets.labelled_credentials(10, seed=123) if name != secrets.ORDINARY]
+    shapes = ["API_KEY={}", "see https://host.example/v1?key={}&x=1", "https://host.example/path/{}", "it was {}.", "a:{}, b", "export TOKEN={}\n"]
+    made = [(name, run, shape) for name, run in held for shape in shapes]
+    docs = spark.createDataFrame([(i, shape.format(run)) for i, (_, run, shape) in enumerate(made)], "doc_id bigint, text string")
+    found = {(r.doc_id, r.start, r.end) for r in secrets.scan(docs, automata).collect()}
+    for shape in shapes:
+        own = [(i, made[i][2].index("{}"), made[i][2].index("{}") + len(made[i][1])) for i in range(len(made)) if made[i][2] == shape]
+        assert sum(x in found for x in own) >= 0.9 * len(own), shape
+
+
 def test_chats_as_sql_and_odd_rows(spark):
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{SF}/conversations.parquet'")
