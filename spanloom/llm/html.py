@@ -2,7 +2,8 @@
 
 The tokenizer takes any bytes and runs in time linear in their number. The tree builder
 closes elements that HTML lets authors leave open (p, li, dt, dd, option, table parts)
-and opens those it lets them omit (tbody and tr around cells). The renderer leaves out
+and opens those it lets them omit (tbody and tr around cells). What stands in a table, but
+in no cell or caption, goes before the table, as in browsers. The renderer leaves out
 what isn't visible (head, scripts, templates, comments, hidden inputs, closed details,
 ``hidden``, ``display:none``, ``visibility:hidden``), collapses white space outside pre,
 puts a blank line between paragraphs and one newline between other blocks, numbers or
@@ -48,6 +49,10 @@ IMPLIED = {
 }
 SCOPES = frozenset("table td th caption html template object".split())
 
+#: In these, only parts of tables and what isn't seen may stand.
+TABLE_PARTS = frozenset("table tbody thead tfoot tr colgroup".split())
+IN_TABLE = frozenset("caption colgroup col tbody thead tfoot tr td th".split())
+
 #: Elements are nested no deeper than this; those beyond it become siblings, as in browsers.
 DEEPEST = 512
 
@@ -146,16 +151,29 @@ def parse(page: str) -> Node:
         if cut:
             del stack[cut:]
 
+    def add(child: Node | str, tag: str) -> None:
+        """Put a child where it belongs: what can't stand in an open part of a table goes before the table."""
+        if stack[-1].tag in TABLE_PARTS and tag not in IN_TABLE and tag not in UNSEEN:
+            if stack[-1].tag == "colgroup":
+                stack.pop()
+            i = len(stack) - 1
+            while i and stack[i].tag != "table":
+                i -= 1
+            if i:
+                stack[i - 1].children.insert(len(stack[i - 1].children) - 1, child)  # an open table is its parent's last child
+                return
+        stack[-1].children.append(child)
+
     def push(tag: str, attrs: dict[str, str]) -> None:
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
+        add(node, tag)
         if tag not in VOID and (len(stack) < DEEPEST or tag in UNSEEN):
             stack.append(node)
 
     opened: dict[str, int] = {}
     for kind, value, attrs in tokens(page):
         if kind == "text":
-            stack[-1].children.append(value)
+            add(value, "" if value.strip() else "col")
         elif kind == "open":
             if value == "html":
                 root.attrs = {**attrs, **root.attrs}
@@ -168,6 +186,19 @@ def parse(page: str) -> Node:
                 close(*IMPLIED[value], True)
                 if value in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
                     push("tr", {})
+            if value in IN_TABLE and opened.get("table"):
+                i = len(stack) - 1
+                outer, cells = ({"table"}, ()) if value in ("caption", "colgroup") else (TABLE_PARTS, ("td", "th", "caption"))
+                while i and stack[i].tag not in outer and stack[i].tag not in cells:
+                    i -= 1
+                if stack[i].tag in outer:
+                    del stack[i + 1 :]
+                if value in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
+                    push("tr", {})
+            elif value == "table" and stack[-1].tag in TABLE_PARTS:
+                close({"table"}, frozenset(), False)
+            elif value == "form" and stack[-1].tag in TABLE_PARTS:
+                continue  # its content stays in the table
             opened[value] = opened.get(value, 0) + 1
             push(value, attrs)
         elif opened.get(value):

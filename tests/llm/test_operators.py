@@ -245,6 +245,15 @@ def test_html(page, text):
     assert html.to_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tr><td>a</td></tr><p>rest<p>of the page</body>", "rest\n\nof the page\n\na"), ("<div><table><tr><td>a</td></tr></div>tail", "tail\n\na"), ("<table><form><tr><td>a<td>b</tr></form></table>", "a | b"),
+    ("<table><tr><form><td>a</td></form></tr></table>", "a"), ("<table><div>text</div><tr><td>a</table>", "text\n\na"), ("<table>stray<tr>more<td>a</td></tr></table>z", "straymore\n\na\n\nz"), ("<table><tr><div>x<td>a<td>b</table>", "x\n\na | b"),
+    ("<table><tr><td><table><tr><td>in<p>p</table>out</table>", "in p out"), ("<table><tr><td>a<table><tr><b>bold</b><td>c</table></table>", "abold c"), ("<table><colgroup><col>x<tr><td>a</table>", "x\n\na"),
+])
+def test_html_keeps_what_stands_in_a_table_but_in_no_cell(page, text):
+    assert html.to_text(page) == text
+
+
 def test_html_on_odd_rows(spark):
     pages = spark.createDataFrame([(None, None, "u"), (1, "<p>" * 5000 + "deep", "u"), (1, "<b>x", "v")], "page_id bigint, html string, text string")
     assert sorted((str(r.page_id), str(r.text)) for r in html.extract(pages).collect()) == [("1", "deep"), ("1", "x"), ("None", "None")]
