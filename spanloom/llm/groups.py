@@ -1,77 +1,130 @@
 """From sketches of texts to groups of near copies, without comparing all pairs of a bucket.
 
-A sketch is a row (key, part, same, sig, ...): texts with equal ``same`` are copies of each
-other, ``sig`` holds the places of the text's signature, and texts near each other share a
-bucket; signatures are compared within one ``part``. ``link`` turns them into pairs:
+A sketch is a row (key, part, same, size, sig, buckets): texts with equal ``same`` are
+copies of each other, ``sig`` holds the places of the text's signature, and texts near each
+other share a bucket; sketches are compared within one ``part``. ``link`` turns them into
+pairs:
 
 1. of texts that are copies, the lowest key stands for all, so no copy needs a bucket;
-2. each member of a bucket is held against the bucket's lowest key: first by signatures,
-   and on their texts where these agree in a share ``low`` of the places at least;
+2. each member of a bucket is held against the bucket's lowest key: first by sizes and
+   signatures, and on their texts where these allow the two to be near;
 3. pairs that passed are joined to groups. Members of a bucket that are in different groups
    are held against each other by signatures, all of them, in blocks of ``BLOCK``, so that
-   the work on a hot bucket is spread over tasks. Of the pairs that agree in ``low``, each
+   the work on a hot bucket is spread over tasks. Of the pairs that may be near, each
    member's best is verified and groups are joined anew, ``ROUNDS`` times; then all others
    are verified whose ends are still in different groups.
 
-So no pair of a bucket is left out but those that signatures rule out and those that are
-in one group already. A group of n near copies about its lowest key costs n comparisons,
-and no bucket is cut short, whatever its size. Only texts that may be in a pair move.
-``components`` joins links that touch, by alternating large and small stars.
+So no pair of a bucket is left out but those that sizes or signatures rule out and those
+that are in one group already. A group of n near copies about its lowest key costs n
+comparisons, and no bucket is cut short, whatever its size. Only texts that may be in a
+pair move.
+
+Nothing sorts or holds a bucket, a group of copies or a hub in one task: what is known of
+one (lowest key, size, lowest group) is aggregated, map-side first, and joined back, and
+the larger side of such a join may be split where it is skewed. ``components`` joins links
+that touch, by alternating large and small stars.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..plans.lineage import cut
 from .bloom import members
 
 #: Members of a bucket that one task holds against each other.
 BLOCK = 4000
+#: Members of a block up to which its pairs are made together with those of other blocks, and pairs that are compared at once.
+SMALL, AT_ONCE = 64, 400_000
 #: How often members' best pairs are verified before all others; more rounds spare verifications, and change no group.
 ROUNDS = 2
 
 
 def sketch_type(key: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField("key", key), T.StructField("part", T.IntegerType()), T.StructField("same", T.BinaryType()), T.StructField("sig", T.BinaryType())])
+    return T.StructType([T.StructField("key", key), T.StructField("part", T.IntegerType()), T.StructField("same", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("sig", T.BinaryType()), T.StructField("buckets", T.ArrayType(T.LongType()))])
 
 
 def sig_matrix(col: pa.Array) -> np.ndarray:
     """Signatures of equal length as rows of a matrix."""
     if not len(col):
-        return np.zeros((0, 1), np.uint8)
+        return np.zeros((0, 8), np.uint8)
     bounds = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
     return np.frombuffer(col.buffers()[2], np.uint8)[bounds[0] : bounds[-1]].reshape(len(col), -1)
 
 
-def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of places in which signatures are equal; a place that is 0 in both says nothing."""
+def byte_agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Share of bytes in which signatures are equal; a byte that is 0 in both says nothing."""
     used = (a > 0) | (b > 0)
     return ((a == b) & used).sum(axis=-1) / np.maximum(used.sum(axis=-1), 1)
 
 
-@F.arrow_udf(T.DoubleType())
-def agreed(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array(agreement(sig_matrix(a), sig_matrix(b)))
-
-
-def _apart(sig: np.ndarray, group: np.ndarray, cut_at: int, low: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, share): pairs of places in different groups that may be near; i before and j from ``cut_at``, or any i < j where that is 0."""
-    for i in range(cut_at or len(sig)):
-        begin = cut_at or i + 1
-        other = begin + np.flatnonzero(group[begin:] != group[i])
-        share = agreement(sig[other], sig[i])
-        near = share >= low
-        if near.any():
-            yield np.full(int(near.sum()), i), other[near], share[near]
-
-
-def _compare(rows: DataFrame, low: float) -> DataFrame:
-    """(a, b, share) of (bucket, lo, hi, side, group, key, part, sig): members of a block, or of two, that are in different groups and may be near."""
+def bit_agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity from registers of one bit; the first half of a signature tells which registers are filled, the second holds the bits.
+
+    Of registers that are filled in both, those of different elements agree half of the time.
+    """
+    a, b = (np.ascontiguousarray(x).view(np.uint64) for x in (a, b))
+    half = a.shape[-1] // 2
+    count = lambda x: np.bitwise_count(x).sum(axis=-1, dtype=np.int32)
+    both = a[..., :half] & b[..., :half]
+    n, differ = count(both), count((a[..., half:] ^ b[..., half:]) & both)
+    return (n - 2 * differ) / np.maximum(count(a[..., :half] | b[..., :half]), 1)
+
+
+@dataclass(frozen=True)
+class Near:
+    """What two sketches must have in common for their texts to be compared."""
+
+    agreement: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    low: float  # least agreement of the signatures
+    ratio: float = np.inf  # most ratio of the sizes
+
+
+def _blocks_apart(bounds: np.ndarray, cut_at: np.ndarray, sig: np.ndarray, size: np.ndarray, group: np.ndarray, near: Near) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, share) of places in one block, in different groups, that may be near; where ``cut_at`` isn't 0, i before and j from it on."""
+
+    def judged(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        fit = (group[i] != group[j]) & (np.maximum(size[i], size[j]) <= near.ratio * np.minimum(size[i], size[j]))
+        i, j = i[fit], j[fit]
+        share = near.agreement(sig[i], sig[j])
+        good = share >= near.low
+        return i[good], j[good], share[good]
+
+    n = np.diff(bounds)
+    some = np.flatnonzero((n > 1) & (n <= SMALL))
+    pairs = np.cumsum(n[some] ** 2)
+    for part in np.split(some, np.searchsorted(pairs, np.arange(AT_ONCE, pairs[-1], AT_ONCE)) if len(pairs) else []):
+        if not len(part):
+            continue
+        each = n[part] ** 2
+        owner = np.repeat(np.arange(len(part)), each)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each)
+        x, y, split = place // n[part][owner], place % n[part][owner], cut_at[part][owner]
+        used = np.where(split > 0, (x < split) & (y >= split), x < y)
+        yield judged((bounds[part][owner] + x)[used], (bounds[part][owner] + y)[used])
+    for k in np.flatnonzero(n > SMALL).tolist():
+        a, b, split = int(bounds[k]), int(bounds[k + 1]), int(cut_at[k])
+        order = a + np.argsort(size[a:b], kind="stable")  # so that each is held against those of fitting size only
+        sizes = size[order].astype(np.float64)
+        late = (order - a) >= split
+        upto = np.searchsorted(sizes, sizes * near.ratio, "right") if np.isfinite(near.ratio) else np.full(len(order), len(order))
+        for x in range(len(order)):
+            others = order[x + 1 : upto[x]]
+            if split:
+                others = others[late[x + 1 : upto[x]] != late[x]]
+            if len(others):
+                i, j, share = judged(np.full(len(others), order[x]), others)
+                if len(i):
+                    yield i, j, share
+
+
+def _compare(rows: DataFrame, near: Near) -> DataFrame:
+    """(a, b, share) of (bucket, part, lo, hi, side, group, key, size, sig): members of a block, or of two, that are in different groups and may be near."""
     kind = rows.schema["key"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("share", T.DoubleType())])
 
@@ -83,18 +136,16 @@ def _compare(rows: DataFrame, low: float) -> DataFrame:
 
     def whole(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        lo, hi, side, group = (table.column(c).to_numpy() for c in ("lo", "hi", "side", "group"))
+        lo, hi, side, group, size = (table.column(c).to_numpy() for c in ("lo", "hi", "side", "group", "size"))
         sig, key = sig_matrix(table.column("sig").chunk(0)), table.column("key").chunk(0)
         bounds = np.concatenate([[0], ends_of(table), [len(lo)]])
-        first, second, shares = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-        for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            cut_at = 0 if lo[x] == hi[x] else int((side[x:y] == lo[x]).sum())
-            if y - x > 1 and (lo[x] == hi[x] or 0 < cut_at < y - x):
-                for i, j, share in _apart(sig[x:y], group[x:y], cut_at, low):
-                    first.append(i + x)
-                    second.append(j + x)
-                    shares.append(share)
-        return pa.RecordBatch.from_arrays([key.take(pa.array(np.concatenate(first))), key.take(pa.array(np.concatenate(second))), pa.array(np.concatenate(shares))], schema.names)
+        early = np.add.reduceat((side == lo).astype(np.int64), bounds[:-1])
+        two, n = lo[bounds[:-1]] != hi[bounds[:-1]], np.diff(bounds)
+        fit = ~two | (early > 0) & (early < n)  # a pair of blocks of which one is empty has no pairs
+        cut_at = np.where(two, np.where(fit, early, n), 0)
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), *_blocks_apart(bounds, cut_at, sig, size, group, near)]
+        first, second, shares = (np.concatenate(x) for x in zip(*parts))
+        return pa.RecordBatch.from_arrays([key.take(pa.array(first)), key.take(pa.array(second)), pa.array(shares)], schema.names)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -112,7 +163,7 @@ def _compare(rows: DataFrame, low: float) -> DataFrame:
         if held:
             yield whole(pa.Table.from_batches(held))
 
-    return rows.select(*names, "side", "group", "key", "sig").repartition(*names).sortWithinPartitions(*names, "side", "key").mapInArrow(over, schema)
+    return rows.select(*names, "side", "group", "key", "size", "sig").repartition(*names).sortWithinPartitions(*names, "side", "key").mapInArrow(over, schema)
 
 
 def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -122,9 +173,13 @@ def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.hint("shuffle_hash").join(texts.withColumnRenamed("key", "b"), "b").withColumnRenamed("text", "text_b").join(leads, "a")
 
 
-def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, keep: Column, of_copies: float, low: float, block: int = BLOCK) -> DataFrame:
-    """Verified pairs (a, b, value), a < b: those whose ``value`` of (text_a, text_b) passes ``keep``, and copies; ``buckets`` is an array of a sketch's buckets."""
-    by_bucket = Window.partitionBy("bucket")
+def link(docs: DataFrame, sketches: DataFrame, value: Column, keep: Column, of_copies: float, near: Near, block: int = BLOCK) -> DataFrame:
+    """Verified pairs (a, b, value), a < b: those whose ``value`` of (text_a, text_b) passes ``keep``, and copies."""
+
+    @F.arrow_udf(T.BooleanType())
+    def may(sig_a: pa.Array, sig_b: pa.Array, size_a: pa.Array, size_b: pa.Array) -> pa.Array:
+        x, y = size_a.to_numpy(), size_b.to_numpy()
+        return pa.array((near.agreement(sig_matrix(sig_a), sig_matrix(sig_b)) >= near.low) & (np.maximum(x, y) <= near.ratio * np.minimum(x, y)))
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
@@ -132,15 +187,17 @@ def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, k
         return texts_of(pairs, docs.where(own(F.col("key")))).select("a", "b", value.alias("value")).where(keep)
 
     every = cut(sketches)
-    heads = cut(every.select("key", "part", "same").withColumn("head", F.min("key").over(Window.partitionBy("part", "same"))).where("key <> head").distinct())
-    copies = heads.select(F.col("head").alias("a"), F.col("key").alias("b"), F.lit(of_copies).alias("value")).distinct()
-    rows = cut(every.join(heads, ["key", "part", "same"], "left_anti"))
-    led = cut(rows.select("key", F.explode(buckets).alias("bucket")).select("bucket", F.min("key").over(by_bucket).alias("a"), F.col("key").alias("b")).where("a <> b").distinct())
-    shared = members(led.select(F.explode(F.array("a", "b")).alias("key")))
-    few = rows.select("key", "part", "sig").where(shared(F.col("key")))
-    side = lambda name: few.select(F.col("key").alias(name), F.struct("part", "sig").alias(f"of_{name}"))
-    held = led.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a").where("of_a.part = of_b.part")
-    held = cut(held.where(agreed("of_a.sig", "of_b.sig") >= low).select("a", "b").distinct())
+    rows = cut(every.groupBy("part", "same").agg(F.min(F.struct("key", "size", "sig", "buckets")).alias("first"), F.count("*").alias("n")).select("part", "same", "n", "first.*"))
+    heads = every.select("key", "part", "same").join(rows.where("n > 1").select("part", "same", F.col("key").alias("head")), ["part", "same"])
+    copies = cut(heads.where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b"), F.lit(of_copies).alias("value")).distinct())
+    placed = rows.select("key", "part", F.explode("buckets").alias("bucket"))
+    firsts = placed.groupBy("bucket", "part").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").drop("z")
+    led = cut(placed.join(firsts, ["bucket", "part"]).where("a <> key").select("bucket", "part", "a", F.col("key").alias("b")).distinct())
+    shared = members(led.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    few = rows.select("key", "part", "size", "sig").where(shared(F.col("key")))
+    side = lambda name: few.select(F.col("key").alias(name), "part", F.struct("size", "sig").alias(f"of_{name}"))
+    held = led.select("a", "b", "part").distinct().join(side("b"), ["b", "part"]).join(side("a"), ["a", "part"])
+    held = cut(held.where(may("of_a.sig", "of_b.sig", "of_a.size", "of_b.size")).select("a", "b").distinct())
     found = cut(copies.union(verified(held)))
 
     def grouped(pairs: DataFrame, found: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -150,19 +207,20 @@ def link(docs: DataFrame, sketches: DataFrame, buckets: Column, value: Column, k
             pairs = pairs.join(group.select(F.col("key").alias(name), F.col("lead").alias(f"of_{name}")), name, "left").withColumn(f"of_{name}", F.coalesce(f"of_{name}", name))
         return pairs
 
-    rest = grouped(led.select("bucket", F.col("b").alias("key")), found, ("key",))
-    rest = rest.select("bucket", "key", F.dense_rank().over(by_bucket.orderBy("of_key")).alias("group"), F.min("of_key").over(by_bucket).alias("x"), F.max("of_key").over(by_bucket).alias("y"), F.count("*").over(by_bucket).alias("n"), F.row_number().over(by_bucket.orderBy("of_key", "key")).alias("r")).where("x <> y")
-    spread = rest.withColumn("side", F.floor((F.col("r") - 1) / block).cast("long")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))))
-    spread = spread.select("bucket", "key", "group", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
-    others = _compare(spread.join(few, "key"), low).where("a <> b")
+    rest = grouped(led.select("bucket", "part", F.col("b").alias("key")), found, ("key",))
+    mixed = rest.groupBy("bucket", "part").agg(F.min("of_key").alias("x"), F.max("of_key").alias("y"), F.count("*").alias("n")).where("x <> y")
+    blocks = F.ceil(F.col("n") / block)
+    spread = rest.join(mixed.select("bucket", "part", blocks.alias("blocks")), ["bucket", "part"])
+    spread = spread.withColumn("side", F.pmod(F.xxhash64("key", "bucket"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    spread = spread.select("bucket", "part", "key", F.xxhash64("of_key").alias("group"), "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    others = _compare(spread.join(few, ["key", "part"]), near).where("a <> b")
     others = others.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("share").alias("share"))
     others = cut(others.join(held, ["a", "b"], "left_anti"))
     for _ in range(ROUNDS):
         if others.isEmpty():
             return found
-        ends = others.select("a", "b", "share", F.explode(F.array("a", "b")).alias("of"))
-        best = ends.withColumn("r", F.row_number().over(Window.partitionBy("of").orderBy(F.desc("share"), "a", "b"))).where("r = 1")
-        best = cut(best.select("a", "b").distinct())
+        best = others.select(F.explode(F.array("a", "b")).alias("of"), F.struct((-F.col("share")).alias("s"), "a", "b").alias("pair")).groupBy("of").agg(F.min("pair").alias("pair"))
+        best = cut(best.select("pair.a", "pair.b").distinct())
         found = cut(found.union(verified(best)))
         others = cut(grouped(others.join(best, ["a", "b"], "left_anti"), found, ("a", "b")).where("of_a <> of_b").select("a", "b", "share"))
     return found.union(verified(others.select("a", "b")))
@@ -173,14 +231,20 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(key, lead): every key of (a, b) but the lowest of its component, and that lowest key."""
+    """(key, lead): every key of (a, b) but the lowest of its component, and that lowest key.
+
+    In each round a node's larger neighbours, and then its smaller ones, are linked to the
+    lowest node about it. The lowest nodes are aggregated and joined back, so a hub is
+    never sorted in one task; rounds grow with the logarithm of the longest chain.
+    """
     now = cut(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("v <> m").distinct())
     state = _state(now)
     while state[0]:
-        both = now.union(now.select("m", "v"))
-        large = both.toDF("u", "v").withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u")))).where("v > u").select("v", "m").distinct()
-        low = F.min("m").over(Window.partitionBy("v"))
-        small = large.withColumn("low", low).select(F.explode(F.array(F.struct("v", F.col("low").alias("m")), F.struct(F.col("m").alias("v"), F.col("low").alias("m")))).alias("e"))
+        both = now.union(now.select("m", "v")).toDF("u", "v")
+        lows = both.groupBy("u").agg(F.min("v").alias("low"))
+        large = both.where("v > u").join(lows, "u").select("v", F.least("u", "low").alias("m")).distinct()
+        lows = large.groupBy("v").agg(F.min("m").alias("low"))
+        small = large.join(lows, "v").select(F.explode(F.array(F.struct("v", F.col("low").alias("m")), F.struct(F.col("m").alias("v"), F.col("low").alias("m")))).alias("e"))
         now = cut(small.select("e.*").where("v <> m").distinct())
         before, state = state, _state(now)
         if before == state:

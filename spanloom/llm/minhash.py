@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from . import textkit as tk
-from .groups import components, link, sketch_type
+from .groups import Near, byte_agreement, components, link, sketch_type
 from .tables import fresh, key_type, map_arrow, table, two_columns
 
 SHINGLE = 3
@@ -87,7 +87,7 @@ def band_hashes(signature: np.ndarray, bands: int, band_rows: int) -> np.ndarray
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """Sketches of each text of (key, text) that has words: 128 bits of its shingles and weights, its registers, its bands."""
-    schema = sketch_type(key_type(docs, "key")).add("buckets", T.ArrayType(T.LongType()))
+    schema = sketch_type(key_type(docs, "key"))
     salts = tuple(np.uint64(x) for x in (0x632BE59BD9B4E019, 0x9FB21C651E98DF25))
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -103,7 +103,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, band_r
             found = band_hashes(registers, bands, band_rows)
             arrays = [
                 part.column("key").take(pa.array(have)), pa.array(np.zeros(len(have), np.int32)),
-                pa.array([x.tobytes() for x in same], pa.binary()), pa.array([x.tobytes() for x in (registers % np.uint32(255) + np.uint32(1)).astype(np.uint8)], pa.binary()),
+                pa.array([x.tobytes() for x in same], pa.binary()), pa.array(np.ones(len(have), np.int64)), pa.array([x.tobytes() for x in (registers % np.uint32(255) + np.uint32(1)).astype(np.uint8)], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * bands), pa.array(found.ravel())),
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
@@ -147,7 +147,7 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sa, sb = _sets(a.dictionary, shingle), _sets(b.dictionary, shingle)
         return pa.array([probability_jaccard(*sa[i], *sb[j]) for i, j in zip(a.indices.to_pylist(), b.indices.to_pylist())], pa.float64())
 
-    found = link(plain, sketches(plain, shingle, bands, band_rows), F.col("buckets"), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, least - doubt)
+    found = link(plain, sketches(plain, shingle, bands, band_rows), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, Near(byte_agreement, least - doubt))
     return found.groupBy("a", "b").agg(F.max("value").alias("similarity"))
 
 

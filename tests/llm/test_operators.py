@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from spanloom.llm import bpe, chat, decontaminate, edits, html, langid, lines, minhash, quality, secrets
+from spanloom.llm.groups import bit_agreement
 from spanloom.llm.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -98,16 +99,8 @@ def test_near_copies_of_any_length_share_a_bucket(length, share, of):
             b = " ".join("".join(r.choices(letters, k=len(w))) if r.random() < share else w for w in words)[:length]
         else:
             b = "".join(r.choice(["", r.choice(letters), x + r.choice(letters)]) if r.random() < share else x for x in a)
-        made = {}
-        for text in (a, b):
-            for c, _, values in edits.samples(pa.array([text]), edits.BANDS, edits.BAND_ROWS):
-                made.setdefault(c, []).append(values[0])
-        for x in made.values():
-            if len(x) == 2:
-                equal = (x[0] == x[1]) & (x[0] > 0)
-                if equal.reshape(edits.BANDS, -1).all(axis=1).any() and equal.mean() >= edits.LOW:
-                    met += 1
-                    break
+        first, second = ({part: (sig, values) for part, _, sig, values, _ in edits.embeddings(pa.array([text]))} for text in (a, b))
+        met += any((first[k][1] == second[k][1]).any() and bit_agreement(first[k][0], second[k][0])[0] >= edits.LOW for k in first.keys() & second.keys())
     print(length, share, of, met / pairs)
     assert met >= 0.9 * pairs
 
@@ -124,7 +117,16 @@ def test_edit_distance():
     r = random.Random(3)
     for _ in range(200):
         a, b = ("".join(r.choices("abc", k=r.randint(0, 30))) for _ in range(2))
-        assert edits.edit_distance(a, b) == plain(a, b)
+        want, most = plain(a, b), r.randint(0, 20)
+        assert edits.edit_distance(a, b) == want and edits.spoiled(a, b, (8, 6, 4)) <= want
+        assert edits.edit_distance(a, b, most) == want if want <= most else edits.edit_distance(a, b, most) > most
+    for share in (0.02, 0.1, 0.3):
+        a = "".join(r.choices("abcd", k=1000))
+        b = "".join(r.choice(["", r.choice("abcd"), x + r.choice("abcd")]) if r.random() < share else x for x in a)
+        want = plain(a, b)
+        for most in (20, 50, 100, 200, want - 1, want, want + 1):
+            got = edits.edit_distance(a, b, most)
+            assert got == want if want <= most else got > most
 
 
 @pytest.mark.parametrize("operator", [minhash.duplicates, lambda d: edits.components(edits.near_pairs(d))])
