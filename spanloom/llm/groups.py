@@ -19,6 +19,12 @@ that are in one group already. A group of n near copies about its lowest key cos
 comparisons, and no bucket is cut short, whatever its size. Only texts that may be in a
 pair move.
 
+Where single places make a bucket, a passage that very many texts hold makes buckets of
+all of them, and comparisons grow with their square. With ``Hot``, a text that has a good
+share of its buckets elsewhere takes no part in step 3 in those; texts near it share those
+other buckets with it as often as any near texts share one. Texts that are made of such
+passages for the most part are held against each other in the hot buckets as in any.
+
 Nothing sorts or holds a bucket, a group of copies or a hub in one task: what is known of
 one (lowest key, size, lowest group) is aggregated, map-side first, and joined back, and
 the larger side of such a join may be split where it is skewed. ``components`` joins links
@@ -85,6 +91,14 @@ class Near:
     ratio: float = np.inf  # most ratio of the sizes
 
 
+@dataclass(frozen=True)
+class Hot:
+    """When the other buckets of a text stand in for one in which very many texts meet that aren't near each other."""
+
+    groups: int  # a bucket with members of more groups is hot
+    cold: float  # share of a text's buckets that must not be hot, for the text to be held against those in hot ones no more
+
+
 def _blocks_apart(bounds: np.ndarray, cut_at: np.ndarray, sig: np.ndarray, size: np.ndarray, group: np.ndarray, near: Near) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(i, j, share) of places in one block, in different groups, that may be near; where ``cut_at`` isn't 0, i before and j from it on."""
 
@@ -173,7 +187,7 @@ def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.hint("shuffle_hash").join(texts.withColumnRenamed("key", "b"), "b").withColumnRenamed("text", "text_b").join(leads, "a")
 
 
-def link(docs: DataFrame, sketches: DataFrame, value: Column, keep: Column, of_copies: float, near: Near, block: int = BLOCK) -> DataFrame:
+def link(docs: DataFrame, sketches: DataFrame, value: Column, keep: Column, of_copies: float, near: Near, hot: Hot | None = None, block: int = BLOCK) -> DataFrame:
     """Verified pairs (a, b, value), a < b: those whose ``value`` of (text_a, text_b) passes ``keep``, and copies."""
 
     @F.arrow_udf(T.BooleanType())
@@ -187,14 +201,18 @@ def link(docs: DataFrame, sketches: DataFrame, value: Column, keep: Column, of_c
         return texts_of(pairs, docs.where(own(F.col("key")))).select("a", "b", value.alias("value")).where(keep)
 
     every = cut(sketches)
-    rows = cut(every.groupBy("part", "same").agg(F.min(F.struct("key", "size", "sig", "buckets")).alias("first"), F.count("*").alias("n")).select("part", "same", "n", "first.*"))
-    heads = every.select("key", "part", "same").join(rows.where("n > 1").select("part", "same", F.col("key").alias("head")), ["part", "same"])
-    copies = cut(heads.where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b"), F.lit(of_copies).alias("value")).distinct())
+    multiple = cut(every.groupBy("part", "same").agg(F.min("key").alias("head"), F.max("key").alias("z")).where("head <> z").drop("z"))
+    heads = cut(every.select("key", "part", "same").join(multiple, ["part", "same"]).where("key <> head").select("key", "part", "same", "head").distinct())
+    copies = heads.select(F.col("head").alias("a"), F.col("key").alias("b"), F.lit(of_copies).alias("value")).distinct()
+    copied = members(heads.select("key"))
+    rows = every.where(~copied(F.col("key"))).union(every.where(copied(F.col("key"))).join(heads, ["key", "part", "same"], "left_anti").select(every.columns))
     placed = rows.select("key", "part", F.explode("buckets").alias("bucket"))
-    firsts = placed.groupBy("bucket", "part").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").drop("z")
-    led = cut(placed.join(firsts, ["bucket", "part"]).where("a <> key").select("bucket", "part", "a", F.col("key").alias("b")).distinct())
-    shared = members(led.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-    few = rows.select("key", "part", "size", "sig").where(shared(F.col("key")))
+    firsts = cut(placed.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z").drop("z"))
+    several = members(firsts.select("bucket"))
+    led = cut(placed.where(several(F.col("bucket"))).join(firsts, "bucket").where("a <> key").select("bucket", "part", "a", F.col("key").alias("b")).distinct())
+    ends = cut(led.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    shared = members(ends)
+    few = rows.select("key", "part", "size", "sig", F.size("buckets").alias("places")).where(shared(F.col("key")))
     side = lambda name: few.select(F.col("key").alias(name), "part", F.struct("size", "sig").alias(f"of_{name}"))
     held = led.select("a", "b", "part").distinct().join(side("b"), ["b", "part"]).join(side("a"), ["a", "part"])
     held = cut(held.where(may("of_a.sig", "of_b.sig", "of_a.size", "of_b.size")).select("a", "b").distinct())
@@ -207,10 +225,15 @@ def link(docs: DataFrame, sketches: DataFrame, value: Column, keep: Column, of_c
             pairs = pairs.join(group.select(F.col("key").alias(name), F.col("lead").alias(f"of_{name}")), name, "left").withColumn(f"of_{name}", F.coalesce(f"of_{name}", name))
         return pairs
 
-    rest = grouped(led.select("bucket", "part", F.col("b").alias("key")), found, ("key",))
-    mixed = rest.groupBy("bucket", "part").agg(F.min("of_key").alias("x"), F.max("of_key").alias("y"), F.count("*").alias("n")).where("x <> y")
-    blocks = F.ceil(F.col("n") / block)
-    spread = rest.join(mixed.select("bucket", "part", blocks.alias("blocks")), ["bucket", "part"])
+    rest = cut(grouped(led.select("bucket", "part", F.col("b").alias("key")), found, ("key",)))
+    if hot:
+        heated = cut(rest.groupBy("bucket").agg(F.approx_count_distinct("of_key").alias("groups")).where(F.col("groups") > hot.groups).select("bucket", F.lit(True).alias("hot")))
+        known = rest.join(heated, "bucket", "left")
+        cool = known.groupBy("key", "part").agg(F.count("hot").alias("heated")).where("heated > 0").join(few.select("key", "part", "places").distinct(), ["key", "part"])
+        cool = cool.where(F.col("heated") <= (1 - hot.cold) * F.col("places")).select("key", "part", F.lit(True).alias("cool"))
+        rest = cut(known.join(cool, ["key", "part"], "left").where("hot is null or cool is null").drop("hot", "cool"))
+    mixed = rest.groupBy("bucket").agg(F.min("of_key").alias("x"), F.max("of_key").alias("y"), F.count("*").alias("n")).where("x <> y")
+    spread = rest.join(mixed.select("bucket", F.ceil(F.col("n") / block).alias("blocks")), "bucket")
     spread = spread.withColumn("side", F.pmod(F.xxhash64("key", "bucket"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     spread = spread.select("bucket", "part", "key", F.xxhash64("of_key").alias("group"), "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
     others = _compare(spread.join(few, ["key", "part"]), near).where("a <> b")
