@@ -158,8 +158,15 @@ def test_lines_as_sql(spark):
     assert sorted(map(tuple, lines.op8_lines(spark, SF).collect())) == sorted(con.execute(lines.ORACLE).fetchall())
 
 
-def test_lines_on_odd_rows(spark, odd):
-    out = lines.dedup_lines(odd)
+def test_lines_by_filters_that_are_not_broadcast(spark):
+    docs = table(spark, SF, "documents")
+    rows = lambda **k: sorted(map(tuple, lines.dedup_lines(docs, **k).collect()))
+    assert rows() == rows(max_filter_mb=0) == rows(bits_a_line=1)
+
+
+@pytest.mark.parametrize("mb", [64, 0])
+def test_lines_on_odd_rows(spark, odd, mb):
+    out = lines.dedup_lines(odd, max_filter_mb=mb)
     assert out.columns == odd.columns and out.count() == odd.count()
     got = {(r.doc_id, r.text) for r in out.collect()}
     assert {(1, None), (None, None), (2, ""), (3, " \n\t "), (5, ""), (None, "null key here with words"), (6, "one two three four")} <= got
