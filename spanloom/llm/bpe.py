@@ -34,7 +34,7 @@ from .tables import key_type, map_arrow, table, two_columns
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens whose ids a worker remembers; it forgets all of them when there are more.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def read_ranks(path: str = VOCABULARY) -> list[bytes]:

@@ -10,6 +10,8 @@ Items whose texts take ``broadcast_mb`` at most are broadcast, and documents nev
 shuffle. Beyond that, items and documents meet in a shuffled join of their run hashes;
 both ways give the same pairs and the same coverages.
 
+Words are compared by 64 bits of their hashes.
+
 Defined results: words are runs of alphanumeric characters without case. An item of
 fewer than ``least`` words must be matched whole, in one tile; one without words, or with
 a null text, is matched by nothing. Null and empty documents match nothing. Rows with a
@@ -160,8 +162,19 @@ def arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def _run_rows(df: DataFrame, least: int, lengths: bool) -> DataFrame:
-    """(key, run) of each distinct run hash of each text; of items also runs of all their words where they have fewer."""
+def _item_sizes(items: DataFrame, least: int) -> list[int]:
+    """The sizes of runs by which items are found: ``least``, or all their words where they have fewer."""
+    schema = T.StructType([T.StructField("size", T.LongType())])
+
+    def sizes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in tk.chunks(batch, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.minimum(tk.words(part.column("text")).counts(), least)).astype(np.int64))], schema.names)
+
+    return sorted(r.size for r in map_arrow(items.where("text is not null"), sizes, schema).distinct().where("size > 0").collect())
+
+
+def _run_rows(df: DataFrame, least: int, sizes: list[int], lengths: bool) -> DataFrame:
+    """(key, run) of each distinct run hash of each text, for runs of ``sizes`` words; of items only the runs of the size that they are found by."""
     schema = T.StructType([T.StructField("key", key_type(df, "key")), T.StructField("run", T.LongType())])
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -169,17 +182,19 @@ def _run_rows(df: DataFrame, least: int, lengths: bool) -> DataFrame:
             w = tk.words(part.column("text"))
             counts = w.counts()
             rows, values = [], []
-            for k in range(1, least + 1):
+            for k in sizes:
                 h, at = tk.grams(w.hash, w.row, k)
                 row = w.row[at]
                 used = (np.minimum(counts[row], least) == k) if lengths else np.ones(len(row), bool)
                 rows.append(row[used])
                 values.append(h[used] ^ np.uint64(k))
-            row, value = np.concatenate(rows), np.concatenate(values)
+            row, value = np.concatenate([np.zeros(0, np.int64), *rows]), np.concatenate([np.zeros(0, np.uint64), *values])
             order = np.lexsort((value, row))
             row, value = row[order], value[order]
             new = np.ones(len(row), bool)
             new[1:] = (np.diff(row) != 0) | (value[1:] != value[:-1])
+            if not new.any():
+                continue
             yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(row[new])), pa.array(value[new].view(np.int64))], schema.names)
 
     return map_arrow(df.where("text is not null"), make, schema)
@@ -189,9 +204,10 @@ def _shuffled_scan(docs: DataFrame, items: DataFrame, least: int, coverage: floa
     id_docs = docs.where("text is not null").groupBy("key", "text").count()
     named = id_docs.withColumn("name", F.struct("key", F.xxhash64("text").alias("h"), F.md5("text").alias("m")))
     item_rows = items.where("text is not null").withColumn("name", F.struct("key", F.md5("text").alias("m")))
+    sizes = _item_sizes(item_rows, least)
     pairs = (
-        _run_rows(named.select(F.to_json("name").alias("key"), "text"), least, False).alias("d")
-        .join(_run_rows(item_rows.select(F.to_json("name").alias("key"), "text"), least, True).alias("i"), "run")
+        _run_rows(named.select(F.to_json("name").alias("key"), "text"), least, sizes, False).alias("d")
+        .join(_run_rows(item_rows.select(F.to_json("name").alias("key"), "text"), least, sizes, True).alias("i"), "run")
         .select(F.col("d.key").alias("d"), F.col("i.key").alias("i")).distinct()
     )
     schema = _result_schema(docs, items)

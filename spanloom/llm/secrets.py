@@ -8,16 +8,19 @@ keeps what a format fixes: literal prefixes, lengths, alphabets by place. The se
 finds its loops. Characters that a state wasn't seen to send share a little probability
 with those of their kind, if the state sends several of the kind.
 
-Candidates lie in maximal runs of ``ALPHABET`` in whole texts: all parts of at least
-``SHORTEST`` characters that begin at the run's start or after one of ``SEPARATORS``, and
-stop at its end or before one. Each is scored by every automaton; a format is reported where its log
-likelihood beats that of ordinary runs (an automaton inferred in the same way from runs
-labelled as such) by ``margin``.
+Candidates lie in maximal runs of ``ALPHABET`` in whole texts: all parts that begin at the
+run's start or after one of ``SEPARATORS``, and stop at its end or before one. Each is
+scored by every automaton; a format is reported where its log likelihood beats that of
+ordinary runs (an automaton inferred in the same way from runs labelled as such) by
+``margin``. Parts shorter than any that an automaton can send have no likelihood under it,
+so they are passed over.
 
 Defined results: a null or empty text has no candidates. A candidate that two formats
 accept is given to the likelier one, and of equally likely ones to the first by name.
-Of candidates that overlap, the one with the highest ratio is reported. Repeated rows, and repeated credentials in a text, are reported each for itself. Rows
-with a null key are scanned, and reported with it. Other columns are ignored.
+Of candidates that overlap, the one with the highest ratio is reported, of equally high
+ones the longest, then the first. Repeated rows, and repeated credentials in a text, are
+reported each for itself. Rows with a null key are scanned, and reported with it. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import string
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,8 @@ from . import textkit as tk
 from .tables import key_type, map_arrow, table, two_columns
 
 ALPHABET = string.ascii_letters + string.digits + "_-+/=."
-SHORTEST = 16
+#: Characters of the shortest ordinary runs that are made up.
+ORDINARY_LENGTH = 16
 SEPARATORS = "=/.-_+"
 #: Labelled credentials of each format that the automata are inferred from, and Hoeffding's confidence.
 PER_FORMAT, CONFIDENCE = 300, 0.01
@@ -88,7 +93,7 @@ def labelled_credentials(per_format: int = PER_FORMAT, seed: int = 7) -> list[tu
             out = f"{r.randint(1990, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}" + r.choice(["", "." + pick(digits, 6)]) + "-" + word() + word()
         else:
             out = r.choice(["-", "=", "_", ".", "0"]) * r.randint(16, 60) if r.random() < 0.5 else pick(digits, r.randint(16, 20))
-        return out if len(out) >= SHORTEST else out + "-" + word() * 6
+        return out if len(out) >= ORDINARY_LENGTH else out + "-" + word() * 6
 
     out = [(name, make()) for name, make in formats.items() for _ in range(per_format)]
     return out + [(ORDINARY, ordinary()) for _ in range(4 * per_format)]
@@ -242,6 +247,16 @@ class Automaton:
                         follow[s, c] = move.get(c, move[-max(alike)[1]] if alike else s)
         return cls(name, logp, follow)
 
+    @cached_property
+    def shortest(self) -> int:
+        """Characters of the shortest run that the automaton can send."""
+        level, seen, n = {0}, set(), 0
+        while level and not any(self.logp[s, END] > -np.inf for s in level):
+            seen |= level
+            level = {int(self.follow[s, c]) for s in level for c in np.flatnonzero(self.logp[s, :END] > -np.inf)} - seen
+            n += 1
+        return max(n, 1) if level else 1 << 40
+
     def score(self, codes: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Log likelihood of the run codes[start : start + length] for each run."""
         total, state = np.zeros(len(start)), np.zeros(len(start), np.int32)
@@ -276,11 +291,11 @@ for _c, _i in _CODE.items():
     _TABLE[ord(_c)] = _i
 
 
-def candidates(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes of all characters, starts, lengths) of the candidate runs."""
+def candidates(points: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes of all characters, starts, lengths) of the maximal runs of ``least`` characters and more."""
     codes = _TABLE[np.minimum(points, 255)]
     start, end = tk.runs(codes != 255, offsets)
-    long = end - start >= SHORTEST
+    long = end - start >= least
     return codes, start[long], (end - start)[long]
 
 
@@ -300,7 +315,7 @@ def accepted(automaton: Automaton, codes: np.ndarray, start: np.ndarray, end: np
         live = total > -np.inf
         start, end, total, state = start[live], end[live], total[live], state[live]
         more = start + k < end
-        if k >= SHORTEST:
+        if k >= automaton.shortest:
             score = total + automaton.logp[state, END]
             stops = ~more
             stops[more] = _SEPARATES[codes[start[more] + k]]
@@ -315,8 +330,7 @@ def judge(automata: list[Automaton], codes: np.ndarray, start: np.ndarray, lengt
     at = np.arange(int(length.sum())) + np.repeat(start - np.cumsum(length) + length, length)
     end = np.repeat(start + length, length)
     begins = (at == np.repeat(start, length)) | _SEPARATES[codes[at - 1]]
-    begins &= end - at >= SHORTEST
-    parts = [accepted(a, codes, at[begins], end[begins]) for a in automata[:-1]]
+    parts = [accepted(a, codes, at[own], end[own]) for a in automata[:-1] for own in [begins & (end - at >= a.shortest)]]
     s, n, score = (np.concatenate(x) for x in zip(*parts))
     form = np.repeat(np.arange(len(parts)), [len(x[0]) for x in parts])
     score = score - np.maximum(automata[-1].score(codes, s, n), -1e6)
@@ -335,12 +349,13 @@ def judge(automata: list[Automaton], codes: np.ndarray, start: np.ndarray, lengt
 def scan(docs: DataFrame, automata: list[Automaton], margin: float = MARGIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, start, end, format, score): each secret's place in its text, in characters, and its log likelihood ratio."""
     shared = docs.sparkSession.sparkContext.broadcast(automata)
+    least = min((a.shortest for a in automata[:-1]), default=1 << 40)
     schema = T.StructType([T.StructField(id_col, key_type(docs, id_col)), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("format", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def find(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in tk.chunks(batch, "text"):
             points, offsets = tk.decode(part.column("text"))
-            codes, start, length = candidates(points, offsets)
+            codes, start, length = candidates(points, offsets, least)
             if not len(start):
                 continue
             start, length, best, score = judge(shared.value, codes, start, length, margin)
