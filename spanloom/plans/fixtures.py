@@ -52,7 +52,7 @@ from (select *, row_number() over (partition by qry_id order by qry_pos, align_i
     "fx_qlen": "select qry_id, cast(max(qry_end) as bigint) as len from fx_align group by qry_id",
     "fx_seq": """
 select doc_id, concat('d', cast(doc_id as <string>)) as name,
-       substring(translate(regexp_replace(lower(text), '[^a-z]', ''<g>), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), 1, 2000) as bases
+       translate(regexp_replace(lower(text), '[^a-z]', ''<g>), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') as bases
 from documents""",
     "fx_variant": """
 select a.chrom, cast(a.pos + c.ref_off as bigint) as pos,
@@ -62,13 +62,32 @@ select a.chrom, cast(a.pos + c.ref_off as bigint) as pos,
        concat(cast(a.align_index as <string>), '-', cast(c.op_index as <string>)) as vid,
        case when a.mapq < 20 then 'MAPQ' else '' end as filter_str, case when a.align_index % 2 = 0 then 'h1' else 'h2' end as hap
 from fx_op_coord c join fx_align a on a.align_index = c.align_index where c.op_code in (1,2,8)""",
+    "fx_clip": """
+select align_index, op_index, cast(case when op_index = 1 and op_len % 2 = 0 then 5 when op_index = last and op_index > 1 and op_len % 3 = 0 then 4 else op_code end as int) as op_code, op_len
+from (select *, max(op_index) over (partition by align_index) as last from fx_op) c""",
+    "fx_rec": """
+select a.*, s.score, case when s.aligned_bp > 0 then s.match_bp / cast(s.aligned_bp as double) end as match_prop, s.score / cast(2 * (a.qry_end - a.qry_pos) as double) as score_prop,
+       cast(row_number() over (partition by a.qry_id order by a.qry_pos, a.qry_end, a.align_index) - 1 as bigint) as qry_order,
+       case when a.mapq < 20 and a.align_index % 3 = 0 then 'ALIGN,MAPQ' when a.mapq < 20 then 'MAPQ' when a.align_index % 3 = 0 then 'ALIGN' else '' end as filters
+from fx_align a join (
+  select align_index, cast(sum(case when op_code = 7 then 2 * op_len when op_code = 8 then -4 * op_len else greatest(-(4 + 2 * op_len), -(24 + op_len)) end) as double) as score,
+         cast(sum(case when op_code = 7 then op_len else 0 end) as bigint) as match_bp, cast(sum(case when op_code in (7, 8) then op_len else 0 end) as bigint) as aligned_bp
+  from fx_op group by align_index) s on s.align_index = a.align_index""",
+    "fx_dop": """
+select s.name, s.doc_id, s.doc_id % 2 = 1 as is_rev, cast(4 * b.b + o.k as bigint) as op_index, cast(o.op_code as int) as op_code, cast(o.op_len as int) as op_len,
+       cast(18 * b.b + o.ref_at as bigint) as ref_off, cast(17 * b.b + o.qry_at as bigint) as qry_off, cast(17 * floor(length(s.bases) / 20) as bigint) as qry_len
+from fx_seq s, lateral (select <unnest>(<upto>(cast(floor(length(s.bases) / 20) as bigint))) as b) b
+cross join (select 1 as k, 7 as op_code, 12 as op_len, 0 as ref_at, 0 as qry_at union all select 2, 8, 3, 12, 12 union all select 3, 1, 2, 15, 15 union all select 4, 2, 3, 15, 17) o
+where length(s.bases) >= 20""",
 }
 
-_DIALECTS = {"spark": {"<string>": "string", "<g>": ""}, "duckdb": {"<string>": "varchar", "<g>": ", 'g'"}}
+_DIALECTS = {"spark": {"<unnest>": "explode", "<string>": "string", "<g>": ""}, "duckdb": {"<unnest>": "unnest", "<upto>": "range", "<string>": "varchar", "<g>": ", 'g'"}}
 
 
 def _text(name: str, dialect: str) -> str:
     text = FIXTURES[name]
+    if dialect == "spark":
+        text = re.sub(r"<upto>\((cast\(.*? as bigint\))\)", r"sequence(0, \1 - 1)", text)
     for mark, word in _DIALECTS[dialect].items():
         text = text.replace(mark, word)
     return text

@@ -27,11 +27,7 @@ def render_cigar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @operator("c05_op_coordinates", oracle("select align_index, op_index, op_code, op_len, ref_off, qry_off from fx_op_coord"))
 def op_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ops = fixture(spark, sf_dir, "fx_op")
-    w = Window.partitionBy("align_index").orderBy("op_index").rowsBetween(Window.unboundedPreceding, 0)
-    step = lambda codes: F.when(F.col("op_code").isin(*codes), F.col("op_len")).otherwise(0)
-    off = lambda codes: (F.sum(step(codes)).over(w) - step(codes)).cast("long")
-    return ops.select("*", off(al.REF_STEPS).alias("ref_off"), off(al.QRY_STEPS).alias("qry_off"))
+    return al.with_offsets(fixture(spark, sf_dir, "fx_op"))
 
 
 @operator("c07_collapse_ops", oracle("""
@@ -45,11 +41,11 @@ def collapse_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 @operator("c08_bad_records", oracle("""
 select a.align_index, cast(o.ref_bp as bigint) as ref_bp, cast(o.qry_bp as bigint) as qry_bp from fx_shift a
 join (select align_index, sum(case when op_code in (0,2,3,7,8) then op_len else 0 end) as ref_bp, sum(case when op_code in (0,1,4,7,8) then op_len else 0 end) as qry_bp from fx_op group by align_index) o using (align_index)
-where a.pos < 0 or a.qry_pos < 0 or a.end_pos <= a.pos or a.qry_end <= a.qry_pos or a.pos + o.ref_bp <> a.end_pos or a.qry_pos + o.qry_bp <> a.qry_end"""))
+join fx_qlen l using (qry_id) where a.qry_end > l.len or a.pos < 0 or a.qry_pos < 0 or a.end_pos <= a.pos or a.qry_end <= a.qry_pos or a.pos + o.ref_bp <> a.end_pos or a.qry_pos + o.qry_bp <> a.qry_end"""))
 def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = fixture(spark, sf_dir, "fx_op").groupBy("align_index").agg(al.total("op_code", al.REF_STEPS).alias("ref_bp"), al.total("op_code", al.QRY_STEPS).alias("qry_bp"))
-    bad = "pos < 0 or qry_pos < 0 or end_pos <= pos or qry_end <= qry_pos or pos + ref_bp <> end_pos or qry_pos + qry_bp <> qry_end"
-    return fixture(spark, sf_dir, "fx_shift").join(sums, "align_index").where(bad).select("align_index", "ref_bp", "qry_bp")
+    bad = "qry_end > len or pos < 0 or qry_pos < 0 or end_pos <= pos or qry_end <= qry_pos or pos + ref_bp <> end_pos or qry_pos + qry_bp <> qry_end"
+    return fixture(spark, sf_dir, "fx_shift").join(sums, "align_index").join(fixture(spark, sf_dir, "fx_qlen"), "qry_id").where(bad).select("align_index", "ref_bp", "qry_bp")
 
 
 @operator("f01_op_scores", oracle(f"select align_index, op_index, {SCORE} as score from fx_op"))
@@ -59,7 +55,7 @@ def op_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @operator("f04_record_features", oracle(f"""
 with s as (select align_index, sum({SCORE}) as score, sum({SCORE_MM}) as score_mm, sum(case when op_code = 7 then op_len else 0 end) as m, sum(case when op_code in (7,8) then op_len else 0 end) as a, sum(case when op_code in (0,1,4,7,8) then op_len else 0 end) as q from fx_op group by align_index)
-select align_index, score, score_mm, case when q > 0 then score / (q * 2.0::double) end as score_prop, case when a > 0 then score_mm / (a * 2.0::double) end as score_mm_prop, case when a > 0 then m::double / a end as match_prop from s"""))
+select align_index, cast(score as float) as score, cast(score_mm as float) as score_mm, cast(case when q > 0 then score / (q * 2.0::double) end as float) as score_prop, cast(case when a > 0 then score_mm / (a * 2.0::double) end as float) as score_mm_prop, cast(case when a > 0 then m::double / a end as float) as match_prop from s"""))
 def record_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.features(fixture(spark, sf_dir, "fx_op"))
 
@@ -133,12 +129,12 @@ def overlap_with_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.join(sums, "align_index", "left").select("align_index", (F.col("end_pos") - F.col("pos")).alias("len"), F.coalesce("bp", F.lit(0)).alias("bp"))
 
 
-@operator("j19_merge_islands", oracle("""
+@operator("w07_merged_intervals", oracle("""
 with o as (select chrom, pos, end_pos, max(end_pos) over (partition by chrom order by pos, end_pos rows between unbounded preceding and 1 preceding) as b from fx_align),
 r as (select *, sum(case when pos <= b + 1000 then 0 else 1 end) over (partition by chrom order by pos, end_pos rows between unbounded preceding and current row) as run from o)
 select chrom, min(pos) as pos, max(end_pos) as end_pos, count(*) as n from r group by chrom, run"""))
 def merge_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return al.merge(fixture(spark, sf_dir, "fx_align"), "chrom", flank=1000)
+    return iv.merge(fixture(spark, sf_dir, "fx_align"), "chrom", flank=1000)
 
 
 @operator("l02_lift_points", oracle("""
@@ -174,7 +170,7 @@ def callable_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.depth(fixture(spark, sf_dir, "fx_align").where("mapq >= 20")).select("chrom", "pos", "end_pos")
 
 
-@operator("m01_genotypes", oracle("""
+@operator("t01_id_genotypes", oracle("""
 select vid, case when bool_or(hap = 'h1') then '1' else '0' end || '|' || case when bool_or(hap = 'h2') then '1' else '0' end as gt
 from (select concat_ws('-', chrom, cast(pos + 1 as varchar), vartype, cast(varlen as varchar)) as vid, hap from fx_variant) v group by vid"""))
 def genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
