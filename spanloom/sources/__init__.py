@@ -1 +1 @@
-
+"""Readers of alignments, sequences, tables and configurations."""
