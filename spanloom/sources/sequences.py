@@ -34,7 +34,7 @@ def read_fasta(spark: SparkSession, path: str, names: list[str] | dict[str, str]
 
 def read_fastq(spark: SparkSession, path: str, names: list[str] | dict[str, str] | None = None, every: bool = True) -> DataFrame:
     """Records of four lines; a file is read as one text, since only its beginning tells which lines are names."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.split(F.regexp_replace("value", r"\s+$", ""), r"\r?\n").alias("l"))
+    lines = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", r"\s+$", ""), r"\r?\n").alias("l"))
     records = lines.select("l", F.explode(F.sequence(F.lit(0), F.size("l") - 1, F.lit(4))).alias("i"))
     name, mark = F.get("l", F.col("i")), F.get("l", F.col("i") + 2)
     good = name.startswith("@") & F.coalesce(mark.startswith("+"), F.lit(False))
