@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept.
 All but the last return the columns of ``documents``; the last one returns tokens.
+
+Defined results: a null, empty or blank text has the lowest grade and goes in the first
+stage. Rows with a null key are graded, kept in near-dedup, and keep their first lines
+like any others. Repeated rows share their fate. An empty table gives an empty one.
+Columns beside the key, the text and ``n_chars`` pass as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,7 +55,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each but the last written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    jvm, before = spark.sparkContext._jvm, None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before is not None:  # only the last stage's rows are read again
+            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{before}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -124,4 +124,4 @@ def numbered(df: DataFrame, key: str, pos: str = "pos", end: str = "end_pos", fl
     before = F.greatest(F.max(end).over(earlier(inside)), F.col("reach"))
     marked = rows.join(reach, [key, "bin"]).withColumn("new", F.when(F.col(pos) <= before + flank, 0).otherwise(1)).drop("reach")
     runs = marked.groupBy(key, "bin").agg(F.sum("new").alias("n")).select(key, "bin", F.coalesce(F.sum("n").over(earlier(by_key)), F.lit(0)).alias("runs"))
-    return marked.join(runs, [key, "bin"]).withColumn("run", F.col("runs") + F.sum("new").over(inside.rowsBetween(Window.unboundedPreceding, 0))).drop("runs", "new", "bin")
+    return marked.join(runs, [key, "bin"]).withColumn("run", F.col("runs") + F.sum("new").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))).drop("runs", "new", "bin")  # equal intervals are peers, so they are in one run whatever their order

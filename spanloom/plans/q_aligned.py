@@ -131,7 +131,7 @@ def overlap_with_other(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @operator("w07_merged_intervals", oracle("""
 with o as (select chrom, pos, end_pos, max(end_pos) over (partition by chrom order by pos, end_pos rows between unbounded preceding and 1 preceding) as b from fx_align),
-r as (select *, sum(case when pos <= b + 1000 then 0 else 1 end) over (partition by chrom order by pos, end_pos rows between unbounded preceding and current row) as run from o)
+r as (select *, sum(case when pos <= b + 1000 then 0 else 1 end) over (partition by chrom order by pos, end_pos range between unbounded preceding and current row) as run from o)
 select chrom, min(pos) as pos, max(end_pos) as end_pos, count(*) as n from r group by chrom, run"""))
 def merge_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.merge(fixture(spark, sf_dir, "fx_align"), "chrom", flank=1000)

@@ -159,7 +159,7 @@ def matched_clusters(spark, sf_dir):
 
 @operator("v08_flags", oracle("""
 with u as (select chrom, pos, end_pos, align_index, case when vartype = 'SUB' then 'CLUSTER_SNV' else 'CLUSTER_INDEL' end as flag from fx_variant where varlen >= 40), o as (select *, max(end_pos) over (partition by chrom order by pos, end_pos rows between unbounded preceding and 1 preceding) as b from u),
-r as (select *, sum(case when pos <= b + 1000 then 0 else 1 end) over (partition by chrom order by pos, end_pos rows between unbounded preceding and current row) as run from o),
+r as (select *, sum(case when pos <= b + 1000 then 0 else 1 end) over (partition by chrom order by pos, end_pos range between unbounded preceding and current row) as run from o),
 g as (select chrom, min(pos) as pos, max(end_pos) as end_pos, string_agg(distinct flag, ',' order by flag) as flag, count(*) as clusters from r group by chrom, run having count(*) > 1) select * from g where flag <> 'CLUSTER_SNV'"""))
 def flags(spark, sf_dir):
     rows = fixture(spark, sf_dir, "fx_variant").where("varlen >= 40")
@@ -421,7 +421,7 @@ def logistic(spark, sf_dir):
 
 
 @operator("b03_labels", oracle("""
-with t as (select align_index from fx_rec where align_index % 9 <> 0), m as (select chrom, min(pos) as a, max(end_pos) as b from (select *, sum(new) over (partition by chrom order by pos, end_pos rows between unbounded preceding and current row) as run from (select chrom, pos, end_pos, case when pos <= max(end_pos) over (partition by chrom order by pos, end_pos rows between unbounded preceding and 1 preceding) then 0 else 1 end as new from (select chrom, pos - 300 as pos, end_pos + 300 as end_pos from fx_rec where mapq = 10) x) y) z group by chrom, run)
+with t as (select align_index from fx_rec where align_index % 9 <> 0), m as (select chrom, min(pos) as a, max(end_pos) as b from (select *, sum(new) over (partition by chrom order by pos, end_pos range between unbounded preceding and current row) as run from (select chrom, pos, end_pos, case when pos <= max(end_pos) over (partition by chrom order by pos, end_pos rows between unbounded preceding and 1 preceding) then 0 else 1 end as new from (select chrom, pos - 300 as pos, end_pos + 300 as end_pos from fx_rec where mapq = 10) x) y) z group by chrom, run)
 select r.align_index, coalesce(score_prop < 0.1 or match_prop < 0.4, false) as lc_score, t.align_index is null as lc_trim, exists (select 1 from m where m.chrom = r.chrom and m.a <= r.pos and r.end_pos <= m.b) and coalesce(match_prop < 0.8, false) as lc_region from fx_rec r left join t using (align_index)"""))
 def labels(spark, sf_dir):
     rows = fixture(spark, sf_dir, "fx_rec")
