@@ -10,11 +10,15 @@ from .fixtures import fixture, oracle
 from .registry import operator
 
 LETTER = "substring('MIDNSHP=X', op_code + 1, 1)"
-TAGS = F.filter(F.split("filters", ","), lambda x: x != "")
+
+
+def tags():
+    """The filters of ``fx_rec`` as a list."""
+    return F.filter(F.split("filters", ","), lambda x: x != "")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, sf_dir, "fx_rec").withColumn("filter", TAGS)
+    return fixture(spark, sf_dir, "fx_rec").withColumn("filter", tags())
 
 
 @operator("c03_pack_unpack", oracle("select align_index, op_index, op_code, op_len from fx_op"))

@@ -11,7 +11,10 @@ from ..plans.lineage import cut
 from .fixtures import fixture, oracle, table
 from .registry import operator
 
-TAGS = F.filter(F.split("filters", ","), lambda x: x != "")
+
+def tags():
+    """The filters of ``fx_rec`` as a list."""
+    return F.filter(F.split("filters", ","), lambda x: x != "")
 
 
 def doc_ops(spark, sf_dir):
@@ -58,7 +61,7 @@ def continued_versions(spark, sf_dir):
 
 
 def lift_table(spark, sf_dir):
-    rows = fixture(spark, sf_dir, "fx_rec").withColumn("n_filter", F.size(TAGS))
+    rows = fixture(spark, sf_dir, "fx_rec").withColumn("n_filter", F.size(tags()))
     return lf.op_table(rows, al.with_offsets(fixture(spark, sf_dir, "fx_op")))
 
 
