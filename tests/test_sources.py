@@ -102,6 +102,30 @@ def test_trimming_of_two_records():
         assert sum(n for c, n in x["ops"] if c in (7, 8, 1)) == x["qry_end"] - x["qry_pos"] and sum(n for c, n in x["ops"] if c in (7, 8, 2)) == x["end_pos"] - x["pos"]
 
 
+def test_trimming_leaves_no_overlap():
+    def row(i, pos, qry, ops, score=0.0, is_rev=False, failing=False, chrom="c"):
+        size = lambda codes: sum(n for c, n in ops if c in codes)
+        return {"align_index": i, "chrom": chrom, "pos": pos, "end_pos": pos + size((7, 8, 2)), "qry_id": "q", "qry_pos": qry, "qry_end": qry + size((7, 8, 1)), "is_rev": is_rev, "score": score, "failing": failing, "ops": ops}
+
+    cases = {
+        "a pair of operations that can't part them scores highest": ([row(0, 0, 183, [(1, 43), (8, 2)], -75.0), row(1, 900, 218, [(8, 2), (8, 29), (2, 4), (7, 19)], -227.0, chrom="d")], [0, 1]),
+        "the failing one has too few aligned bases": ([row(0, 0, 395, [(2, 24), (8, 10), (8, 9)], -124.0), row(1, 900, 404, [(1, 28), (8, 1)], -56.0, True, True)], [0, 1]),
+        "nothing parts them": ([row(0, 0, 0, [(1, 50), (7, 3), (1, 20)], 9.0), row(1, 900, 20, [(1, 25), (7, 2), (1, 50)], 5.0, chrom="d")], [0]),
+        "nothing parts them, and the better one fails": ([row(0, 0, 0, [(1, 50), (7, 3), (1, 20)], 9.0, failing=True), row(1, 900, 20, [(1, 25), (7, 2), (1, 50)], 5.0)], [1]),
+    }
+    r = random.Random(5)
+    for k in range(300):
+        ops = lambda: [(r.choice((7, 7, 8, 1, 2)), r.randint(1, 12)) for _ in range(r.randint(1, 5))]
+        cases[k] = ([row(i, r.randint(0, 60), r.randint(0, 60), ops(), float(r.randint(-9, 9)), r.random() < 0.5, r.random() < 0.3, r.choice("cd")) for i in range(6)], None)
+    for name, (rows, stay) in cases.items():
+        for by_query, a, b, key in ((True, "qry_pos", "qry_end", "qry_id"), (False, "pos", "end_pos", "chrom")):
+            kept = tm.trim_rows(rows, by_query)
+            assert stay is None or not by_query or sorted(x["align_index"] for x in kept) == stay, name
+            assert not [1 for x in kept for y in kept if x["align_index"] < y["align_index"] and x[key] == y[key] and x[a] < y[b] and y[a] < x[b]], name
+            for x in kept:
+                assert sum(n for c, n in x["ops"] if c in (7, 8, 1)) == x["qry_end"] - x["qry_pos"] and sum(n for c, n in x["ops"] if c in (7, 8, 2)) == x["end_pos"] - x["pos"], name
+
+
 def test_densities_and_hidden_states():
     import numpy as np
 
