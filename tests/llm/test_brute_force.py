@@ -5,8 +5,9 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from spanloom.llm import bpe, decontaminate, html, langid, quality, secrets
+from spanloom.llm import bpe, decontaminate, edits, html, langid, quality, secrets
 from spanloom.llm.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -254,3 +255,19 @@ def test_pipeline_as_registered(spark):
     out = corpus_pipeline.run(spark, SF)
     docs = table(spark, SF, "documents")
     assert 0 < out.count() < docs.count() and out.join(docs, "doc_id", "left_anti").isEmpty()
+
+
+def test_a_hot_bucket_holds_all_its_members_together(spark, monkeypatch):
+    """Two near texts that meet in one bucket only, with 140 others, and have more buckets of their own."""
+    r = random.Random(8)
+    texts = ["".join(r.choice("abcdefghij klmnop") for _ in range(300)) for _ in range(142)]
+    texts[71] = texts[70][:150] + "z" + texts[70][151:]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = edits.sketches
+
+    def hot(plain, bands):
+        own = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.col("key") * 10 + i)
+        return made(plain, bands).withColumn("buckets", F.concat(F.array(F.lit(0).cast("long")), own))
+
+    monkeypatch.setattr(edits, "sketches", hot)
+    assert [(x.a, x.b) for x in edits.near_pairs(docs).collect()] == [(70, 71)]
