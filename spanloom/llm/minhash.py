@@ -143,9 +143,12 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     @F.arrow_udf(T.DoubleType())
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
-        a, b = pc.dictionary_encode(a), pc.dictionary_encode(b)
-        sa, sb = _sets(a.dictionary, shingle), _sets(b.dictionary, shingle)
-        return pa.array([probability_jaccard(*sa[i], *sb[j]) for i, j in zip(a.indices.to_pylist(), b.indices.to_pylist())], pa.float64())
+        out: list[float] = []
+        for pairs in tk.chunks(pa.RecordBatch.from_arrays([a, b], ["a", "b"]), "b"):
+            x, y = (pc.dictionary_encode(pc.fill_null(pairs.column(c), "")) for c in ("a", "b"))
+            sx, sy = _sets(x.dictionary, shingle), _sets(y.dictionary, shingle)
+            out += [probability_jaccard(*sx[i], *sy[j]) for i, j in zip(x.indices.to_pylist(), y.indices.to_pylist())]
+        return pa.array(out, pa.float64())
 
     found = link(plain, sketches(plain, shingle, bands, band_rows), similar.asNondeterministic()("text_a", "text_b"), F.col("value") >= least, 1.0, Near(byte_agreement, least - doubt))
     return found.groupBy("a", "b").agg(F.max("value").alias("similarity"))

@@ -271,3 +271,20 @@ def test_a_hot_bucket_holds_all_its_members_together(spark, monkeypatch):
 
     monkeypatch.setattr(edits, "sketches", hot)
     assert [(x.a, x.b) for x in edits.near_pairs(docs).collect()] == [(70, 71)]
+
+
+def test_workers_give_free_memory_back():
+    import os
+    from pathlib import Path
+
+    from spanloom.llm import minhash, textkit
+
+    held = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+    r = random.Random(9)
+    col = pa.array([" ".join(r.choice("abcdefghijklmnop") * r.randint(1, 9) for _ in range(400)) for _ in range(4000)])
+    before = held()
+    for part in textkit.chunks(pa.RecordBatch.from_arrays([col], ["text"]), "text"):
+        row, element, weight = minhash.shingles(textkit.words(part.column("text")), 3)
+        minhash.signatures(row, element, weight, part.num_rows, 120)
+        del row, element, weight
+    assert held() - before < 60
