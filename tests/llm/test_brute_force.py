@@ -288,3 +288,29 @@ def test_workers_give_free_memory_back():
         minhash.signatures(row, element, weight, part.num_rows, 120)
         del row, element, weight
     assert held() - before < 60
+
+
+def test_short_pairs_are_verified_together_and_exactly(monkeypatch):
+    """Shares of texts up to the length of one word's band are exact, and none of them goes through the way for long pairs."""
+    r = random.Random(10)
+    a, b = [None, "", "x", "ab" * 200], ["x", "x", "X", "ab" * 200]
+    for _ in range(1500):
+        letters = r.choice(["ab", "abcd", "abcdefghijklmnop", "aé日😀İ"])
+        x = "".join(r.choices(letters, k=r.randint(1, 280)))
+        share = r.choice([0, 0.04, 0.09, 0.12, 0.3])
+        y = "".join(r.choice(["", r.choice(letters), c + r.choice(letters)]) if r.random() < share else c for c in x)
+        a.append(x)
+        b.append(y[r.choice([0, 0, 5]) :] or x)
+    want = []
+    for x, y in zip(a, b):
+        x, y = (x or "").lower(), (y or "").lower()
+        n = max(len(x), len(y), 1)
+        distance = edits.edit_distance(x, y)
+        want.append(distance / n if x and y and distance <= 0.1 * n else None)
+    long, one = [], edits.near_share
+    monkeypatch.setattr(edits, "near_share", lambda x, y, most: long.append(max(len(x), len(y), len(x.lower()), len(y.lower()))) or one(x, y, most))
+    got = edits.near_shares(a, b, edits.MOST)
+    assert [x is None for x in got] == [x is None for x in want] and sum(x is not None for x in want) > 500
+    assert all(x == y for x, y, p, q in zip(got, want, a, b) if y is not None and max(len(p.lower()), len(q.lower())) <= edits.TOGETHER)
+    assert long and min(long) > edits.TOGETHER
+    assert edits.near_shares([], [], edits.MOST) == []
