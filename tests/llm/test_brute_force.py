@@ -314,3 +314,41 @@ def test_short_pairs_are_verified_together_and_exactly(monkeypatch):
     assert all(x == y for x, y, p, q in zip(got, want, a, b) if y is not None and max(len(p.lower()), len(q.lower())) <= edits.TOGETHER)
     assert long and min(long) > edits.TOGETHER
     assert edits.near_shares([], [], edits.MOST) == []
+
+
+def test_pairs_of_one_passage_are_verified_in_cells(spark):
+    """Texts that share a passage are verified in cells, whole or split, and give the groups of all their pairs; keys may have several texts."""
+    from spanloom.llm import groups
+
+    r = random.Random(12)
+    some = lambda n: "".join(r.choice("abcdefghij klmnop") for _ in range(n))
+    passage, texts = some(150), {}
+    for k in range(0, 90, 3):
+        texts[k] = passage + some(200)
+        texts[k + 1] = texts[k][:100] + "Z" + texts[k][101:]
+        texts[k + 2] = texts[k + 1][:250] + "YY" + texts[k + 1][252:]
+    docs = spark.createDataFrame([*texts.items(), (0, some(350)), (1, None), (2, "")], "key long, text string")
+    every = [(a, b, r.random(), a % 4 // 3) for a in texts for b in texts if a < b]
+    pairs = spark.createDataFrame(every, "a long, b long, share double, lead long")
+    sizes = spark.createDataFrame([(k, len(t)) for k, t in texts.items()], "key long, size long")
+    want = {(k + i, k) for k in range(0, 90, 3) for i in (1, 2)}
+    for cell in (100, 5000, 10**6):
+        found = groups.verified_in_cells(pairs, docs, sizes, lambda a, b: edits.near_shares(a, b, edits.MOST), cell).cache()
+        assert all(x.value <= edits.MOST and x.a // 3 == x.b // 3 for x in found.collect())
+        assert {(x.key, x.lead) for x in groups.components(found.select("a", "b")).collect()} == want
+    assert found.count() < 90  # of three near pairs one joins ends that are joined
+    assert groups.verified_in_cells(pairs.where("a < 0"), docs, sizes, lambda a, b: edits.near_shares(a, b, edits.MOST)).count() == 0
+
+
+def test_a_member_is_sent_once_for_the_buckets_of_a_lowest_key(spark):
+    """Pairs of members that share several buckets come once, in blocks and across them, and those that share none don't."""
+    from spanloom.llm import groups
+
+    sig = lambda k: bytes([255] * 16 + [k % 2] * 16)
+    members = {k: [100 + k % 3, 200 + k % 3, 300 + k // 5] for k in range(150)}
+    want = {(a, b) for a in members for b in members if a < b and set(members[a]) & set(members[b]) and a // 2 != b // 2}
+    for blocks in (1, 3):
+        rows = [(7, 1, min(k % blocks, o), max(k % blocks, o), k % blocks, k // 2, k, 100, sig(k), members[k]) for k in members for o in range(blocks)]
+        found = groups._compare(spark.createDataFrame(rows, "lead long, part int, lo long, hi long, side long, group long, key long, size long, sig binary, buckets array<long>"), groups.Near(groups.byte_agreement, 0.0)).collect()
+        got = [(min(x.a, x.b), max(x.a, x.b)) for x in found]
+        assert len(got) == len(set(got)) and set(got) == want and {x.lead for x in found} == {7}
