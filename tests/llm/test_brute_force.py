@@ -332,8 +332,8 @@ def test_pairs_of_one_passage_are_verified_in_cells(spark):
     pairs = spark.createDataFrame(every, "a long, b long, share double, lead long")
     sizes = spark.createDataFrame([(k, len(t)) for k, t in texts.items()], "key long, size long")
     want = {(k + i, k) for k in range(0, 90, 3) for i in (1, 2)}
-    for cell in (100, 5000, 10**6):
-        found = groups.verified_in_cells(pairs, docs, sizes, lambda a, b: edits.near_shares(a, b, edits.MOST), cell).cache()
+    for cell, many in ((100, 10**6), (5000, 10**6), (10**6, 100), (10**6, 10**6)):
+        found = groups.verified_in_cells(pairs, docs, sizes, lambda a, b: edits.near_shares(a, b, edits.MOST), cell, many).cache()
         assert all(x.value <= edits.MOST and x.a // 3 == x.b // 3 for x in found.collect())
         assert {(x.key, x.lead) for x in groups.components(found.select("a", "b")).collect()} == want
     assert found.count() < 90  # of three near pairs one joins ends that are joined
