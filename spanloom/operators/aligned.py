@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.sequences import kmers, reverse_complement  # noqa: F401
+from ..functions.sequences import kmer_counts, kmers, reverse_complement  # noqa: F401
 from .intervals import merge  # noqa: F401
 
 LETTERS = "MIDNSHP=X"
