@@ -450,7 +450,7 @@ def sequence_lengths(spark, sf_dir):
 with k as (select name, cast(i as bigint) as "index", substring(bases, cast(i + 1 as bigint), 31) as kmer from (select name, bases, unnest(range(0, length(bases) - 30)) as i from fx_seq where length(bases) >= 31) s)
 select name, "index", least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) as canonical from k where translate(kmer, 'ACGT', '') = ''"""))
 def kmer_stream(spark, sf_dir):
-    return sq.kmers(fixture(spark, sf_dir, "fx_seq"), 31).select("name", "index", F.least("kmer", sq.reverse_complement(F.col("kmer"))).alias("canonical"))
+    return sq.kmers(fixture(spark, sf_dir, "fx_seq"), 31, canonical=True).withColumnRenamed("kmer", "canonical")
 
 
 @operator("x09_homology", oracle("""
