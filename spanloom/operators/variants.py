@@ -2,14 +2,14 @@
 
 Works on the long form of operations with ``ref_off`` and ``qry_off`` (``aligned.with_offsets``)
 joined to their records (key, chrom, pos, qry_id, is_rev, qry_len). Bases come from chunked
-sequence tables by equi-join; nothing leaves the JVM and no sequence is sent whole.
+sequence tables by equi-join, each operation with the piece that it lies in; nothing leaves the JVM and no sequence is sent whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.sequences import complement, fetch, reverse_complement
+from ..functions.sequences import complement, reverse_complement, with_bases
 from .aligned import Affine
 
 
@@ -36,11 +36,11 @@ def snvs(ops: DataFrame, refs: DataFrame, queries: DataFrame, model: Affine = Af
     ``refs`` and ``queries`` have (name, bases).
     """
     begin, _ = _placed(ops, F.col("is_rev"))
-    runs = ops.where("op_code = 8").select("*", begin.alias("qb"), (F.col("pos") + F.col("ref_off")).alias("rb"), F.concat_ws(":", "align_index", "op_index").alias("at"))
-    named = lambda name, a: runs.select("at", F.col(name).alias("name"), F.col(a).alias("a"), (F.col(a) + F.col("op_len")).alias("b"))
-    ref = fetch(named("chrom", "rb"), refs, "at", pos="a", end="b").withColumnRenamed("bases", "ref_bases")
-    alt = fetch(named("qry_id", "qb"), queries, "at", pos="a", end="b").withColumnRenamed("bases", "qry_bases")
-    both = runs.join(ref, "at").join(alt, "at").withColumn("qry_bases", F.when(F.col("is_rev"), reverse_complement(F.col("qry_bases"))).otherwise(F.col("qry_bases")))
+    runs = ops.where("op_code = 8").select("align_index", "op_index", "op_len", "chrom", "qry_id", "is_rev", begin.alias("qb"), (F.col("pos") + F.col("ref_off")).alias("rb"))
+    at, n = F.concat_ws(":", "align_index", "op_index"), F.col("op_len")
+    both = with_bases(runs, [refs], F.lit(0), F.col("chrom"), F.col("rb"), F.col("rb") + n, at, "ref_bases")
+    both = with_bases(both, [queries], F.lit(0), F.col("qry_id"), F.col("qb"), F.col("qb") + n, at, "qry_bases")
+    both = both.withColumn("qry_bases", F.when(F.col("is_rev"), reverse_complement(F.col("qry_bases"))).otherwise(F.col("qry_bases")))
     letters = F.arrays_zip(F.split("ref_bases", "").alias("r"), F.split("qry_bases", "").alias("q"))
     each = both.select("align_index", "chrom", "rb", "qb", "qry_id", "is_rev", "op_len", F.posexplode(letters).alias("i", "s"))
     pos = F.col("rb") + F.col("i")
@@ -53,14 +53,15 @@ def insdels(ops: DataFrame, refs: DataFrame, queries: DataFrame, model: Affine =
 
     An insertion ends one base after it begins and has the query's bases, turned where the record is; a deletion has the reference's.
     """
-    begin, n = _placed(ops, F.col("is_rev"))
-    rows = ops.where("op_code in (1, 2)").select("*", begin.alias("qry_pos"), n.alias("qn"), (F.col("pos") + F.col("ref_off")).alias("rb"), F.concat_ws(":", "align_index", "op_index").alias("at"))
-    inserted = fetch(rows.where("op_code = 1").select("at", F.col("qry_id").alias("name"), F.col("qry_pos").alias("a"), (F.col("qry_pos") + F.col("op_len")).alias("b"), "is_rev"), queries, "at", pos="a", end="b", reverse="is_rev")
-    deleted = fetch(rows.where("op_code = 2").select("at", F.col("chrom").alias("name"), F.col("rb").alias("a"), (F.col("rb") + F.col("op_len")).alias("b")), refs, "at", pos="a", end="b")
+    begin, _ = _placed(ops, F.col("is_rev"))
+    rows = ops.where("op_code in (1, 2)").select("align_index", "op_index", "op_code", "op_len", "chrom", "qry_id", "is_rev", begin.alias("qry_pos"), (F.col("pos") + F.col("ref_off")).alias("rb"))
+    inserted = F.col("op_code") == 1
+    name, first = F.when(inserted, F.col("qry_id")).otherwise(F.col("chrom")), F.when(inserted, F.col("qry_pos")).otherwise(F.col("rb"))
+    joined = with_bases(rows, [refs, queries], F.when(inserted, 1).otherwise(0), name, first, first + F.col("op_len"), F.concat_ws(":", "align_index", "op_index"), "bases", "left")
+    joined = joined.withColumn("bases", F.when(inserted & F.col("is_rev"), reverse_complement(F.col("bases"))).otherwise(F.col("bases")))
     kind = F.when(F.col("op_code") == 1, "INS").otherwise("DEL")
     end = F.when(F.col("op_code") == 1, F.col("rb") + 1).otherwise(F.col("rb") + F.col("op_len"))
     qry_end = F.col("qry_pos") + F.when(F.col("op_code") == 1, F.col("op_len")).otherwise(1)
-    joined = rows.join(inserted.unionByName(deleted), "at", "left")
     return joined.select("chrom", F.col("rb").alias("pos"), end.alias("end_pos"), any_id(F.col("chrom"), F.col("rb"), kind, F.col("op_len"), F.lit(""), F.lit("")).alias("id"), kind.alias("vartype"), F.col("op_len").alias("varlen"), "qry_id", "qry_pos", qry_end.cast("long").alias("qry_end"), "is_rev", model.gap(F.col("op_len")).alias("var_score"), F.col("bases").alias("seq"), "align_index")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.sequences import fetch
+from ..functions.sequences import with_bases
 
 VERSION = "4.5"
 INFO = (
@@ -39,9 +39,8 @@ def fields(df: DataFrame, refs: DataFrame, symbolic: tuple[str, ...] = ("INV", "
     sym = kind.isin(*symbolic) if symbolic else F.lit(False)
     left = F.col("pos") > 0
     at = F.when(left, F.col("pos") - 1).otherwise(F.col("end_pos"))
-    asked = df.where(kind != "SNV").select(index, F.col("chrom").alias("name"), at.alias("a"), (at + 1).alias("b"))
-    bases = fetch(asked, refs, index, pos="a", end="b").withColumnRenamed("bases", "__base")
-    rows = df.join(bases, index, "left")
+    asked = F.when(kind != "SNV", at)
+    rows = with_bases(df, [refs.select("name", "bases")], F.lit(0), F.col("chrom"), asked, asked + 1, F.col(index), "__base", "left", most=1)
     base = F.coalesce("__base", F.lit("N"))
     have = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
     own_ref, own_alt = F.when(kind == "DEL", have("seq")).otherwise(""), F.when(kind == "INS", have("seq")).otherwise("")
