@@ -2,16 +2,19 @@
 
 An operation has a code (0 M, 1 I, 2 D, 3 N, 4 S, 5 H, 6 P, 7 =, 8 X) and a length. Long
 form is one row an operation; packed form is one row a record, with an array ``ops`` of
-structs (op_index, op_code, op_len) in order. Nothing here leaves the JVM.
+structs (op_index, op_code, op_len) in order. Only ``expand_matches`` and k-mers leave the JVM.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.sequences import kmer_counts, kmers, reverse_complement  # noqa: F401
+from ..functions.sequences import gathered, kmer_counts, kmers, reverse_complement  # noqa: F401
 from .intervals import merge  # noqa: F401
 
 LETTERS = "MIDNSHP=X"
@@ -169,11 +172,27 @@ def compared(pieces: DataFrame, key: str = "align_index") -> DataFrame:
 
 
 def expand_matches(pieces: DataFrame, key: str = "align_index") -> DataFrame:
-    """(key, op_index, run, op_code, op_len): operations of code M as runs of = and X, by comparing their pieces without case; others as they are."""
-    w = Window.partitionBy(key, "op_index").orderBy("i")
-    bases = compared(pieces.where("op_code = 0"), key)
-    runs = bases.withColumn("new", F.when(F.col("same") == F.lag("same").over(w), 0).otherwise(1)).withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    made = runs.groupBy(key, "op_index", "run").agg(F.when(F.bool_and("same"), 7).otherwise(8).alias("op_code"), F.count("*").cast("int").alias("op_len"))
+    """(key, op_index, run, op_code, op_len): operations of code M as runs of = and X, by comparing their pieces without case; others as they are.
+
+    Pieces are compared where they are read, and no base is a row. A base that the query's piece hasn't differs, as do those that the reference's hasn't.
+    """
+    given = pieces.where("op_code = 0 and length(ref_piece) > 0 and qry_piece is not null").select(F.struct(key, "op_index").alias("at"), F.upper("ref_piece").alias("r"), F.upper("qry_piece").alias("q"))
+    schema = given.select("at").schema.add("run", "long").add("op_code", "integer").add("op_len", "integer")
+
+    def found(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+        for row, (r, q) in enumerate(zip(batch.column(1), batch.column(2))):
+            r, q = (np.frombuffer((x.as_py() or "").encode("utf-32-le"), np.uint32) for x in (r, q))
+            same = np.zeros(max(len(r), len(q)), bool)
+            n = min(len(r), len(q))
+            same[:n] = r[:n] == q[:n]
+            cuts = np.concatenate([[0], np.flatnonzero(same[1:] != same[:-1]) + 1, [len(same)]])
+            yield row, [np.arange(1, len(cuts)), np.where(same[cuts[:-1]], 7, 8).astype(np.int32), np.diff(cuts).astype(np.int32)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from gathered(batch, found(batch), schema.names)
+
+    made = given.mapInArrow(work, schema).select("at.*", "run", "op_code", "op_len")
     return made.unionByName(pieces.where("op_code <> 0").select(key, "op_index", F.lit(1).cast("long").alias("run"), F.col("op_code").cast("int").alias("op_code"), F.col("op_len").cast("int").alias("op_len")))
 
 

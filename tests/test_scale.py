@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from spanloom.functions import sequences as sq
-from spanloom.operators import graph as gr, inversions as inv
+from spanloom.operators import aligned as al, graph as gr, inversions as inv, variants as va
 
 
 def test_segments_of_one_position_are_in_order_of_their_ends(spark):
@@ -42,3 +42,30 @@ def test_states_in_one_task_are_those_of_joined_kmers(spark, monkeypatch):
             single = {n for n in names if n != "h"}  # a name with two sequences has k-mers at one place, in any order
             for a, b in zip(got, [sorted(map(tuple, x.collect()), key=str) for x in far]):
                 assert [r for r in a if r[0] in single] == [r for r in b if r[0] in single]
+
+
+def test_bases_beside_rows_are_those_that_are_fetched(spark):
+    bases = "".join("ACGT"[i * i % 7 % 4] for i in range(100))
+    seqs = spark.createDataFrame([("a", bases), ("b", bases[::-1]), ("é", "ACGé" * 12)], "name string, bases string")
+    rows = spark.createDataFrame([(i, n, a, a + m) for i, (n, a, m) in enumerate((n, a, m) for n in ("a", "b", "é", "z", None) for a in (-3, 0, 7, 8, 15, 40, 95, 200) for m in (0, 1, 8, 9, 30))], "i int, name string, pos long, end_pos long")
+    want = dict(map(tuple, sq.fetch(rows, seqs, "i").collect()))
+    for size in (8, 512):
+        for how in ("inner", "left"):
+            made = sq.with_bases(rows, [seqs.where("name = 'b'"), seqs.where("name <> 'b'")], F.when(F.col("name") == "b", 0).otherwise(1), F.col("name"), F.col("pos"), F.col("end_pos"), F.col("i"), "out", how, size, min(size, 64))
+            got = {r.i: r.out for r in made.collect()}
+            assert len(got) == (rows.count() if how == "left" else made.count()) and {i: x for i, x in got.items() if x} == {i: x for i, x in want.items() if x}
+
+
+def test_variants_send_each_operation_once(spark):
+    ops = spark.createDataFrame([(1, 1, 1, 2, 0, 0, "a", 0, "a", False, 9)], "align_index long, op_index long, op_code int, op_len int, ref_off long, qry_off long, chrom string, pos long, qry_id string, is_rev boolean, qry_len long")
+    seqs = spark.createDataFrame([("a", "ACGTACGTA")], "name string, bases string")
+    plan = va.insdels(ops, seqs, seqs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Join") == 1 and [r.seq for r in va.insdels(ops, seqs, seqs).collect()] == ["AC"]
+
+
+def test_matches_are_expanded_without_a_row_for_each_base(spark):
+    rows = [(1, 1, 0, 5, "ACGTA", "acctt"), (1, 2, 7, 3, "AAA", "CCC"), (1, 3, 0, 4, "ACGT", "AC"), (2, 1, 0, 2, "AC", "ACGT"), (2, 2, 0, 1, "", ""), (3, 1, 0, 3, "AéC", None)]
+    pieces = spark.createDataFrame(rows, "align_index long, op_index long, op_code int, op_len int, ref_piece string, qry_piece string")
+    made = al.expand_matches(pieces)
+    assert "Window" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, made.collect())) == [(1, 1, 1, 7, 2), (1, 1, 2, 8, 1), (1, 1, 3, 7, 1), (1, 1, 4, 8, 1), (1, 2, 1, 7, 3), (1, 3, 1, 7, 2), (1, 3, 2, 8, 2), (2, 1, 1, 7, 2), (2, 1, 2, 8, 2)]
