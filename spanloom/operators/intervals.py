@@ -70,6 +70,24 @@ def flank_pairs(df: DataFrame, key: str, index: str, cols: tuple[str, str] = ("p
     return pairs.select(F.col(f"l_{key}").alias(key), F.col(f"l_{index}").alias("index_a"), F.col(f"r_{index}").alias("index_b"))
 
 
+def pair_count(df: DataFrame, key: str, pos: str = "pos", end: str = "end_pos") -> DataFrame:
+    """(n): how many pairs of rows with equal key share a base, by a sweep: what begins at a coordinate meets what is open there, and each other. As in ``range_join``, an interval of no width counts as the base it begins at."""
+    rows = df.where(F.col(end).isNotNull()).select(F.col(key).alias("key"), F.col(pos).alias("pos"), F.greatest(F.col(end), F.col(pos) + 1).alias("end_pos")).where("key is not null and pos is not null")
+    begun = rows.groupBy("key", "pos").agg(F.count("*").alias("n"))
+    n = F.col("n")
+    met = depth(rows, "key").join(begun, ["key", "pos"])  # a key is open from each place where a row begins
+    return met.agg(F.coalesce(F.sum(n * (F.col("depth") - n) + (n * (n - 1) / 2).cast("long")), F.lit(0).cast("long")).alias("n"))
+
+
+def overlap_count(df: DataFrame, key: str, index: str, cols: tuple[str, str] = ("pos", "end_pos")) -> DataFrame:
+    """(n): how many pairs of rows with equal key and different ``index`` share a base; in proportion to the rows, however many the pairs."""
+    rows = df.where(F.col(index).isNotNull()).withColumn("__h", F.xxhash64(index))
+    twice = rows.groupBy(key, "__h").agg(F.count("*").alias("__n")).where("__n > 1").select(key, "__h")
+    same = rows.join(twice, [key, "__h"], "left_semi").withColumn("__at", F.to_json(F.struct(key, index)))
+    every, equal = pair_count(rows, key, *cols), pair_count(same, "__at", *cols).withColumnRenamed("n", "m")
+    return every.crossJoin(equal).select((F.col("n") - F.col("m")).alias("n"))  # a row each
+
+
 def coverage(left: DataFrame, right: DataFrame, key: str, index: str, cols: tuple[str, str] = ("pos", "end_pos"), right_cols: tuple[str, str] = ("pos", "end_pos")) -> DataFrame:
     """(index, len, bp, bp_prop) of every left interval: bases shared with intervals of the right, summed, 0 where there are none."""
     (a, b), (c, d) = cols, right_cols
