@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from spanloom.functions import sequences as sq
-from spanloom.operators import aligned as al, graph as gr, inversions as inv, variants as va
+from spanloom.operators import aligned as al, graph as gr, intervals as iv, inversions as inv, trim as tm, variants as va
 
 
 def test_segments_of_one_position_are_in_order_of_their_ends(spark):
@@ -69,3 +69,24 @@ def test_matches_are_expanded_without_a_row_for_each_base(spark):
     made = al.expand_matches(pieces)
     assert "Window" not in made._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, made.collect())) == [(1, 1, 1, 7, 2), (1, 1, 2, 8, 1), (1, 1, 3, 7, 1), (1, 1, 4, 8, 1), (1, 2, 1, 7, 3), (1, 3, 1, 7, 2), (1, 3, 2, 8, 2), (2, 1, 1, 7, 2), (2, 1, 2, 8, 2)]
+
+
+def test_overlaps_are_counted_as_they_are_joined(spark):
+    rows = [("ab"[i % 2], i * i % 61, i * i % 61 + i % 9, f"x{i % 37}") for i in range(150)] + [(None, 1, 5, "x"), ("a", None, 5, "y"), ("a", 1, 50, None), ("a", 1, None, "z")]
+    df = spark.createDataFrame(rows, "chrom string, pos long, end_pos long, iv_id string")
+    whole = df.where("end_pos is not null")
+    want = iv.range_join(whole, whole, "chrom").where("l_iv_id < r_iv_id").count()
+    made = iv.overlap_count(df, "chrom", "iv_id")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert want > 500 and made.first().n == want and "sequence(" not in plan
+    assert iv.overlap_count(df.where("false"), "chrom", "iv_id").first().n == 0
+
+
+def test_groups_of_overlaps_are_trimmed_in_batches(spark):
+    rows = [{"align_index": i, "chrom": f"c{i % 3}", "pos": 10 * i, "end_pos": 10 * i + 20, "qry_id": f"q{i % 5}", "qry_pos": 7 * (i // 5), "qry_end": 7 * (i // 5) + 20, "is_rev": i % 2 == 0, "score": float(i % 11), "failing": i % 4 == 0, "ops": [(7, 12), (8, 3), (7, 5)]} for i in range(40)]
+    schema = "align_index long, chrom string, pos long, end_pos long, qry_id string, qry_pos long, qry_end long, is_rev boolean, score double, failing boolean, ops array<struct<op_code:int,op_len:int>>"
+    df = spark.createDataFrame([tuple(x.values()) for x in rows], schema)
+    made = tm.trim(df, True)
+    assert "FlatMapGroups" not in made._jdf.queryExecution().optimizedPlan().toString()
+    want = [tuple(x[c] for c in df.columns) for q in range(5) for x in tm.trim_rows([r for r in rows if r["qry_id"] == f"q{q}"], True)]
+    assert sorted((*tuple(r)[:-1], [tuple(o) for o in r.ops]) for r in made.collect()) == sorted((*x[:-1], x[-1]) for x in want)
